@@ -1,0 +1,86 @@
+"""Joins and lists that survive a key holding a large share of all rows.
+
+Joins are written so that the side with hot keys stands where adaptive execution can split its
+partitions (left, or either side of an inner join), and so that a small other side is broadcast after
+Spark's own size check. Lists cannot be split by the engine, so here a hot key's rows are spread over
+several lists. No row is ever dropped.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+HOT_KEYS = 50_000
+PART_SIZE = 100_000
+
+
+def _all(conditions: Sequence[Column]) -> Column:
+    together = conditions[0]
+    for c in conditions[1:]:
+        together = together & c
+    return together
+
+
+def null_safe_left_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left join where a null key matches a null key."""
+    names = {k: f"__right_{i}" for i, k in enumerate(on)}
+    renamed = right.withColumnsRenamed(names)
+    condition = _all([F.col(k).eqNullSafe(F.col(names[k])) for k in on])
+    return left.join(renamed, condition, "left").drop(*names.values())
+
+
+def left_join_many(left: DataFrame, many: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left join to a side with many rows per key.
+
+    A left join's right side cannot be split at run time. So matched rows come from an inner join, which
+    can be split on both sides, and the others from an anti join with the distinct keys.
+    """
+    matched = left.join(many, list(on))
+    without = left.join(many.select(*on).distinct(), list(on), "left_anti")
+    return matched.unionByName(without, allowMissingColumns=True)
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int) -> DataFrame:
+    """Keys with at least `min_rows` rows and their row count `hot_rows`.
+
+    Counted map-side first, on the key columns alone. At most HOT_KEYS rows, which may be broadcast at
+    any data size; a key not among them holds less than 1/HOT_KEYS of all rows.
+    """
+    return (
+        df.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("hot_rows"))
+        .filter(F.col("hot_rows") >= min_rows)
+        .orderBy(F.desc("hot_rows"), *keys)
+        .limit(HOT_KEYS)
+    )
+
+
+def with_list_part(
+    df: DataFrame,
+    keys: Sequence[str],
+    by: Sequence[str],
+    copies: bool = True,
+    part_size: int = PART_SIZE,
+) -> DataFrame:
+    """Adds `list_part`: which part of its key's list a row goes to.
+
+    0 for every key of up to `part_size` rows. A larger key is spread over parts of about that size,
+    so no task ever builds a list from all its rows. With `copies` equal rows are spread as well, by the
+    partition they are in, which stays the same when a lost task is run again; without, they meet in
+    one part, where a set takes them up once.
+    """
+    names = {k: f"__hot_{i}" for i, k in enumerate(keys)}
+    hot = F.broadcast(
+        hot_keys(df, keys, part_size + 1).select(
+            *[F.col(k).alias(names[k]) for k in keys],
+            F.ceil(F.col("hot_rows") / part_size).cast("bigint").alias("__parts"),
+        )
+    )
+    spread = F.xxhash64(F.spark_partition_id(), *by) if copies else F.xxhash64(*by)
+    return df.join(hot, _all([F.col(k) == F.col(names[k]) for k in keys]), "left").select(
+        *[F.col(f"`{c}`") for c in df.columns],
+        F.when(F.col("__parts").isNull(), 0).otherwise(F.pmod(spread, F.col("__parts"))).cast("int").alias("list_part"),
+    )
