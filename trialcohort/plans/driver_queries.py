@@ -17,6 +17,7 @@ from trialcohort.functions.numbers import to_number
 from trialcohort.functions.text import join_list, tokens, unwrap_single
 from trialcohort.operators import baseline, icd, labels, represent, sampling, study, text_flags
 from trialcohort.plans import pipeline, standins
+from trialcohort.plans.staging import staged
 from trialcohort.plans.standins import KEYWORDS, Tables
 
 DOCUMENT_KEYWORDS = ["the", "of the", "de", "la", "par la", "tion", "que"]
@@ -150,7 +151,7 @@ def census_roles(t: Tables) -> DataFrame:
 
 
 def study_frame(t: Tables) -> DataFrame:
-    return study.study_frame(study_star(t), standins.census(t))
+    return study.study_frame(staged(study_star(t), "studies"), standins.census(t))
 
 
 def aligned_lists(t: Tables) -> DataFrame:
@@ -267,7 +268,7 @@ def label_conflicts(t: Tables) -> DataFrame:
 
 def null_safe_join(t: Tables) -> DataFrame:
     categorised = _categorised(t)
-    unique = labels.unique_labels(standins.labels(t, categorised))
+    unique = labels.unique_labels(standins.labels(t))
     return represent.with_labels(categorised, unique).select(
         "nct_id", "ctgov_group_code", "cat_title", "cat_exp", "piv_cat", "param_value_num"
     )
@@ -276,7 +277,7 @@ def null_safe_join(t: Tables) -> DataFrame:
 def _pivot_rows(t: Tables) -> DataFrame:
     """All labelled rows, values below zero left out."""
     categorised = baseline.non_negative(_categorised(t), "param_value_num")
-    unique = labels.unique_labels(standins.labels(t, categorised))
+    unique = labels.unique_labels(standins.labels(t))
     return represent.with_pivot_columns(represent.with_labels(categorised, unique))
 
 
@@ -300,8 +301,8 @@ def enrollment_lists(t: Tables) -> DataFrame:
 
 
 def demographic_pivot(t: Tables) -> DataFrame:
-    categorised = categorised_baselines(t)
-    return represent.demographic_pivot(categorised, labels.unique_labels(standins.labels(t, categorised)))
+    categorised = staged(categorised_baselines(t), "baselines")
+    return represent.demographic_pivot(categorised, labels.unique_labels(standins.labels(t)))
 
 
 def shares(t: Tables) -> DataFrame:
@@ -383,6 +384,11 @@ def trial_code_sizes(t: Tables) -> DataFrame:
     return icd.trial_code_sizes(standins.browse_conditions(t), term_sets(t))
 
 
+def code_sets(t: Tables) -> DataFrame:
+    """Codes and chapters per term."""
+    return icd.code_sets(term_codes(t), icd.chapter_frame(t.spark), "MESH_term", "ICD10CM_id")
+
+
 def icd_map(t: Tables) -> DataFrame:
     return icd.icd_map(
         standins.code_map_1(t),
@@ -398,7 +404,7 @@ def representation(t: Tables) -> DataFrame:
     """The share of each group among a trial's participants: the question the whole work is about."""
     trials = standins.studies(t).select(F.col("nct_id").alias("NCT_id"), F.col("enrollment").alias("Enrollment"))
     categorised = categorised_baselines(t)
-    sums = represent.demographic_sums(categorised, labels.unique_labels(standins.labels(t, categorised)))
+    sums = represent.demographic_sums(categorised, labels.unique_labels(standins.labels(t)))
     return represent.representation(trials, sums)
 
 
@@ -414,7 +420,7 @@ QUERIES = [
     trial_text, intervention_flags, device_flags, sample_rows, label_expressions, label_requests, label_parse,
     label_table, label_conflicts, null_safe_join, pivot_values, category_sums, pivot_sums, enrollment_lists,
     demographic_pivot, shares, to_numbers, code_prefixes, icd_chapter, icd_chapter_by_range, code_map, term_codes,
-    term_sets, trial_codes, trial_code_sizes, icd_map, representation, wide_table,
+    term_sets, trial_codes, trial_code_sizes, code_sets, icd_map, representation, wide_table,
 ]
 
 

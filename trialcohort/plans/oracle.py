@@ -125,15 +125,16 @@ SELECT CAST(l_orderkey AS VARCHAR) AS nct_id,
        CASE WHEN l_tax > 0.04 THEN upper({TERM}) ELSE {TERM} END AS mesh_term
 FROM lineitem JOIN part ON l_partkey = p_partkey"""
 
-CTES["in_map_1"] = f"SELECT {CODE} AS icd, 'D' || (p_partkey % 300) AS mesh FROM part"
+CTES["in_map_1"] = f"SELECT {CODE} AS icd, 'D' || (p_partkey // 4) AS mesh FROM part"
 
 CTES["in_map_2"] = """
 SELECT chr(CAST(65 + p_size % 26 AS INTEGER)) || lpad(CAST(p_partkey % 100 AS VARCHAR), 2, '0') AS icd,
-       CASE WHEN p_type = 'PROMO' THEN 'D' || (p_partkey % 300) END AS mesh
+       CASE WHEN p_type = 'PROMO' THEN 'D' || (p_partkey // 4) END AS mesh
 FROM part"""
 
 CTES["in_terms"] = f"""
-SELECT {TERM} AS label, CASE WHEN p_size % 3 <> 0 THEN {CODE} END AS icd_code, 'D' || (p_partkey % 400) AS mesh_code
+SELECT {TERM} AS label, CASE WHEN p_size % 3 <> 0 THEN {CODE} END AS icd_code, 
+       CASE WHEN p_size % 4 = 0 THEN 'X' ELSE 'D' END || (p_partkey // 4) AS mesh_code
 FROM part"""
 
 CTES["in_trial_icd"] = """
@@ -662,6 +663,10 @@ FROM sets_of_terms""",
 SELECT nct_id AS "NCT_id", count(*) AS "MESH_term_ct", CAST(sum(len(codes)) AS BIGINT) AS "ICD10CM_ct",
        CAST(sum(coalesce(len(ids), 0)) AS BIGINT) AS "MESH_id_ct"
 FROM in_conditions JOIN sets_of_terms ON lower(mesh_term) = term GROUP BY nct_id""",
+    "code_sets": f"""
+SELECT term AS "MESH_term", string_agg(DISTINCT icd, ' | ' ORDER BY icd) AS "ICD10",
+       string_agg(DISTINCT coalesce(label, 'Other'), ' | ' ORDER BY coalesce(label, 'Other')) AS "Clinical_Cat"
+FROM codes_of_terms LEFT JOIN chapters ON {prefix("icd")} BETWEEN first_code AND last_code GROUP BY term""",
     "icd_map": "SELECT * FROM icd_of_trials",
     "representation": represented("""
         SELECT s.nct_id AS "NCT_id", s.enrollment AS "Enrollment", t.* EXCLUDE ("NCT_id")

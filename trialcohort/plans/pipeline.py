@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -35,7 +35,8 @@ from trialcohort.operators.text_flags import (
     keyword_matches,
     trial_text,
 )
-from trialcohort.sources.writers import write_csv, write_parquet, write_requests
+from trialcohort.plans.staging import staged, written
+from trialcohort.sources.writers import write_csv, write_requests
 
 
 @dataclass(frozen=True)
@@ -174,17 +175,21 @@ def flags_of(inputs: Inputs, sample_n: int | None = None, seed: int = 0, part_si
 
 
 def build_all(
-    inputs: Inputs, sample_n: int | None = None, seed: int = 0, part_size: int = PART_SIZE
+    inputs: Inputs,
+    sample_n: int | None = None,
+    seed: int = 0,
+    part_size: int = PART_SIZE,
+    stage: Callable[[DataFrame, str], DataFrame] = staged,
 ) -> DataFrame:
-    """The wide table as one lazy plan."""
+    """The wide table. Tables read by several steps are staged first."""
     return wide_table(
-        star_of(inputs),
+        stage(star_of(inputs), "studies"),
         inputs.census,
         flags_of(inputs, sample_n, seed, part_size),
         inputs.interventions,
         inputs.sponsors,
         icd_of(inputs),
-        categorised_baselines(inputs),
+        stage(categorised_baselines(inputs), "baselines"),
         inputs.labels,
         part_size,
     )
@@ -198,27 +203,18 @@ def write_label_requests(inputs: Inputs, path: str, chunks: int = REQUEST_CHUNKS
 def run(inputs: Inputs, out: str, sample_n: int | None = None, seed: int = 0) -> DataFrame:
     """Second job, with the labels in: writes every stage below `out` and the wide table as parquet and CSV.
 
-    `out` is a folder all executors share. Stages that feed several others are read back from there, so
-    they are computed once and a lost executor costs no long lineage.
+    `out` is a folder all executors share.
     """
-    spark = inputs.studies.sparkSession
-
-    def stage(df: DataFrame, name: str) -> DataFrame:
-        write_parquet(df, f"{out}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{out}/{name}")
-
-    star = stage(star_of(inputs), "studies")
-    flags = stage(flags_of(inputs, sample_n, seed), "flags")
-    categorised = stage(categorised_baselines(inputs), "baselines")
-    icd = stage(icd_of(inputs), "icd")
+    star = written(star_of(inputs), f"{out}/studies")
+    flags = written(flags_of(inputs, sample_n, seed), f"{out}/flags")
+    categorised = written(categorised_baselines(inputs), f"{out}/baselines")
+    icd = written(icd_of(inputs), f"{out}/icd")
     write_csv(null_pattern_report(categorised), f"{out}/null_patterns")
     write_csv(keyword_counts(flags), f"{out}/flag_counts")
     write_csv(keyword_matches(flags), f"{out}/flag_matches")
-    wide = stage(
-        wide_table(
-            star, inputs.census, flags, inputs.interventions, inputs.sponsors, icd, categorised, inputs.labels
-        ),
-        "trials",
+    wide = wide_table(
+        star, inputs.census, flags, inputs.interventions, inputs.sponsors, icd, categorised, inputs.labels
     )
+    wide = written(wide, f"{out}/trials")
     write_csv(wide, f"{out}/trials_csv")
     return wide

@@ -10,9 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trialcohort.functions.fixed_values import CATEGORY_LABELS
-from trialcohort.operators.baseline import title_dictionary
-from trialcohort.operators.labels import distinct_expressions
-from trialcohort.plans.pipeline import Inputs, categorised_baselines
+from trialcohort.operators.baseline import categorise, title_dictionary
+from trialcohort.plans.pipeline import Inputs
 
 KEYWORDS = ["widget", "Red Widget", " ring ", "with", "of the", "de", "par la", "gizmo"]
 
@@ -24,7 +23,9 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        setattr(self, name, table)  # looked up once, not read once
+        return table
 
 
 def studies(t: Tables) -> DataFrame:
@@ -136,13 +137,13 @@ def browse_conditions(t: Tables) -> DataFrame:
 
 
 def code_map_1(t: Tables) -> DataFrame:
-    return t.part.selectExpr(f"{CODE} as ICD10CM_ID", "concat('D', p_partkey % 300) as MESH_ID")
+    return t.part.selectExpr(f"{CODE} as ICD10CM_ID", "concat('D', p_partkey div 4) as MESH_ID")
 
 
 def code_map_2(t: Tables) -> DataFrame:
     return t.part.selectExpr(
         "concat(char(65 + p_size % 26), lpad(cast(p_partkey % 100 as string), 2, '0')) as ICD10CM_ID",
-        "case when p_type = 'PROMO' then concat('D', p_partkey % 300) end as MESH_ID",
+        "case when p_type = 'PROMO' then concat('D', p_partkey div 4) end as MESH_ID",
     )
 
 
@@ -150,7 +151,7 @@ def mesh_icd(t: Tables) -> DataFrame:
     return t.part.selectExpr(
         f"{TERM} as label",
         f"case when p_size % 3 <> 0 then {CODE} end as icd_code",
-        "concat('D', p_partkey % 400) as mesh_code",
+        "concat(if(p_size % 4 = 0, 'X', 'D'), p_partkey div 4) as mesh_code",
     )
 
 
@@ -206,11 +207,14 @@ def titles(t: Tables) -> DataFrame:
     return title_dictionary(baseline_measurements(t))
 
 
-def labels(t: Tables, categorised: DataFrame) -> DataFrame:
+def labels(t: Tables) -> DataFrame:
     """A label for each expression that occurs, but 'C9'; expressions 'A' get a second one."""
-    wanted = distinct_expressions(categorised).unionByName(
-        categorised.filter("cat_title <> 'enrollment' and cat_exp is null").select("cat_title", "cat_exp").distinct()
-    ).filter("cat_exp is null or cat_exp <> 'C9'")
+    wanted = (
+        categorise(baseline_measurements(t), titles(t))
+        .filter("cat_title <> 'enrollment' and coalesce(cat_exp, '') <> 'C9'")
+        .select("cat_title", "cat_exp")
+        .distinct()
+    )
     allowed = F.lit(None)
     for category, names in CATEGORY_LABELS.items():
         allowed = F.when(F.col("cat_title") == category, F.array(*[F.lit(n) for n in names])).otherwise(allowed)
@@ -218,11 +222,9 @@ def labels(t: Tables, categorised: DataFrame) -> DataFrame:
         """case when cat_exp is null then size(allowed) - 1 when cat_exp = 'A' then 0 when cat_exp = 'R' then 1
            else cast(substring(cat_exp, 2) as int) % size(allowed) end"""
     )
-    first = wanted.withColumn("allowed", allowed).select(
-        "cat_title", "cat_exp", F.get("allowed", place).alias("piv_cat")
-    )
-    second = wanted.filter("cat_exp = 'A'").select("cat_title", "cat_exp", F.lit("~ second label").alias("piv_cat"))
-    return first.unionByName(second)
+    first = F.get("allowed", place)
+    both = F.when(F.col("cat_exp") == "A", F.array(first, F.lit("~ second label"))).otherwise(F.array(first))
+    return wanted.withColumn("allowed", allowed).select("cat_title", "cat_exp", F.explode(both).alias("piv_cat"))
 
 
 def inputs(spark: SparkSession, folder: str) -> Inputs:
@@ -232,9 +234,7 @@ def inputs(spark: SparkSession, folder: str) -> Inputs:
         for make in (
             studies, eligibilities, countries, calculated_values, baseline_counts, baseline_measurements,
             interventions, sponsors, browse_conditions, brief_summaries, design_groups, design_outcomes,
-            detailed_descriptions, census, titles, code_map_1, code_map_2, mesh_icd, trial_icd,
+            detailed_descriptions, census, titles, labels, code_map_1, code_map_2, mesh_icd, trial_icd,
         )
     }
-    unlabelled = Inputs(**tables, labels=tables["titles"], keywords=KEYWORDS)
-    tables["labels"] = labels(t, categorised_baselines(unlabelled))
     return Inputs(**tables, keywords=KEYWORDS)
