@@ -1,0 +1,173 @@
+import json
+import os
+
+import pytest
+
+from tests.conftest import rows
+from tests.fixture_tables import inputs
+from trialcohort.operators import study
+from trialcohort.plans import pipeline
+from trialcohort.plans.staging import shared_folder
+from trialcohort.sources import readers, writers
+
+
+@pytest.fixture(scope="module")
+def wide(spark):
+    return {r["NCT_id"]: r.asDict() for r in pipeline.build_all(inputs(spark)).collect()}
+
+
+def given(row, *left_out):
+    """What is not null, without the figures of the census and the named columns."""
+    census = {p + c for p in ("st_", "comp_") for c in study.CENSUS_NAMES.values()}
+    return {k: v for k, v in row.items() if v is not None and k not in census and k not in left_out}
+
+
+def test_columns(spark, wide):
+    columns = pipeline.build_all(inputs(spark)).columns
+    assert len(columns) == 94 and columns[-1] == "list_part" and len(set(columns)) == 94
+    assert set(wide) == {"T1", "T2", "T3", "T4", "T5", "T6"}
+
+
+def test_trial_with_everything(wide):
+    assert given(wide["T1"]) == {
+        "NCT_id": "T1", "sum_Enrollment": 200, "Enrollment": 200, "study_Country": "United States",
+        "study_Type": "INTERVENTIONAL", "FDAreg_Drug": True, "FDAreg_Device": False, "Status": "COMPLETED",
+        "st_Date": "05-01-2018", "comp_Date": "02-03-2019", "Phase": "PHASE2", "no_Arms": 2, "e_Gender": "ALL",
+        "e_min_Age": "18 Years", "e_max_Age": "65 Years", "rep_res": True, "st_Year": "2018", "comp_Year": "2019",
+        "study_Country_ct": 1, "DHT": 1, "DINT": 1,
+        "Intervention": ["DEVICE", "DRUG"], "int_Name": ["Asthma App", None],
+        "sp_Class": ["INDUSTRY", "NIH"], "sp_Role": ["lead", "collaborator"],
+        "ICD10": ["D49", "J45", "J46"], "Clinical_Cat": ["Other", "Respiratory System"],
+        "am_Indian": 2.0, "Hispanic": 40.0, "age_Mean": 41.5, "Hawaian": 4.0, "White": 180.0, "Female": 120.0,
+        "Male": 80.0, "r_Race": 1, "r_Gender": 1, "r_Age": 1, "Perc_Male": 40.0, "Perc_Female": 60.0,
+        "R_other": 6.0, "Perc_White": 90.0, "Perc_Hispanic": 20.0, "Perc_Other": 3.0,
+        ">100_perc_r": True, ">100_perc_a": False, ">100_perc_g": False, "c_Perc_White": 70.0, "c_100_perc_r": True,
+        "list_part": 0,
+    }
+    assert (wide["T1"]["st_Male"], wide["T1"]["st_mixed"]) == (1.0, 12.0)
+    assert (wide["T1"]["comp_Male"], wide["T1"]["comp_<18 Years"]) == (101.0, 103.0)
+
+
+def test_tied_groups_two_countries_and_zero_enrollment(wide):
+    row = given(wide["T2"], "study_Type", "Status", "FDAreg_Drug", "FDAreg_Device", "unapp_Device", "no_Arms", "list_part")
+    assert row == {
+        "NCT_id": "T2", "sum_Enrollment": 0, "study_Country": "France, United States", "study_Country_ct": 2,
+        "st_Date": "01-01-2018", "comp_Date": "12-31-2018", "st_Year": "2018", "comp_Year": "2018", "rep_res": False,
+        "DHT": 0, "DINT": 0, "sp_Class": [None], "sp_Role": ["lead"], "Female": 4.0,
+        "r_Race": 0, "r_Gender": 1, "r_Age": 0, ">100_perc_r": False, ">100_perc_a": False, ">100_perc_g": False,
+        "c_100_perc_r": True,
+    }
+    assert wide["T2"]["st_Male"] is None
+
+
+def test_bad_dates_no_country_and_null_counts(wide):
+    assert given(wide["T3"], "study_Type", "Status", "list_part") == {
+        "NCT_id": "T3", "sum_Enrollment": 0, "study_Country": "", "study_Country_ct": 0,
+        "Sampling": "PROBABILITY_SAMPLE", "e_Gender": "FEMALE", "DHT": 0, "DINT": 0,
+        "r_Race": 0, "r_Gender": 0, "r_Age": 0, ">100_perc_r": False, ">100_perc_a": False, ">100_perc_g": False,
+        "c_100_perc_r": True,
+    }
+
+
+def test_census_of_one_year_and_missing_expression(wide):
+    row = wide["T4"]
+    assert row["st_Male"] == 201.0 and row["comp_Male"] is None and row["comp_Year"] == "2025"
+    assert row["unknown_g"] == 10.0 and row["u_Perc_Gender"] == 100.0 and row["r_Gender"] == 0
+    assert (row["DHT"], row["DINT"]) == (1, 1) and row["ICD10"] == ["J45", "J46"]
+
+
+def test_direct_code_only_and_enrollment_places(wide):
+    assert wide["T5"]["ICD10"] == ["Z00"] and wide["T5"]["r_Gender"] == 0
+    assert wide["T6"]["enroll_Country"] == ["5.0", "France", "Peru"]
+    assert wide["T6"]["Intervention"] is None
+
+
+def test_long_lists_get_more_rows_without_numbers(spark):
+    got = pipeline.build_all(inputs(spark), part_size=1).collect()
+    trial = [r.asDict() for r in got if r["NCT_id"] == "T1"]
+    assert len([r for r in trial if r["list_part"] == 0]) == 1
+    names = [n for r in trial for n in r["int_Name"] or []]
+    assert sorted(names, key=repr) == sorted(["Asthma App", None], key=repr)
+    assert sum(r["Enrollment"] or 0 for r in trial) == 200
+    assert sum(r["Female"] or 0 for r in trial) == 120.0
+
+
+def test_run_writes_every_stage(spark, tmp_path, wide):
+    out = str(tmp_path / "out")
+    result = pipeline.run(inputs(spark), out)
+    assert {r["NCT_id"]: r.asDict() for r in result.collect()} == wide
+    assert set(os.listdir(out)) >= {
+        "studies", "flags", "baselines", "icd", "null_patterns", "flag_counts", "flag_matches", "trials", "trials_csv",
+    }
+    csv = spark.read.csv(f"{out}/trials_csv", header=True, multiLine=True, escape='"')
+    assert csv.count() == 6 and csv.columns == result.columns
+    names = csv.filter("NCT_id = 'T1'").collect()[0]["int_Name"]
+    assert json.loads(names) == ["Asthma App", None]
+    assert rows(spark.read.csv(f"{out}/flag_counts", header=True)) == [("app", "3"), ("sensor", "1"), ("sensors", "1")]
+
+
+def test_label_requests_and_sample(spark, tmp_path):
+    out = str(tmp_path / "requests")
+    pipeline.write_label_requests(inputs(spark), out)
+    lines = spark.read.text(out)
+    assert lines.filter("category = 'race'").count() == 4
+    assert lines.filter("category = 'gender'").select("chunk").distinct().count() == 2
+    assert {json.loads(r.value)["custom_id"] for r in lines.collect()} >= {"task-Women", "task-unclear"}
+    sampled = pipeline.build_all(inputs(spark), sample_n=2)
+    assert sampled.filter("DHT is not null").count() == 2
+
+
+def test_shared_folder_is_the_sessions(spark):
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_star_counts_rows(spark):
+    star = pipeline.star_of(inputs(spark))
+    assert star.columns == study.STUDY_COLUMNS
+    assert star.count() == 7
+    sums = {r.nct_id: r.sum_Enrollment for r in study.enrollment_sums(star).collect()}
+    assert sums["T2"] == 0 and sums["T1"] == 200 and sums["T6"] == 50
+
+
+def test_csv_round_trip(spark, tmp_path):
+    path = str(tmp_path / "text")
+    text = pipeline.text_of(inputs(spark))
+    writers.write_csv(text, path)
+    back = spark.read.csv(path, header=True, multiLine=True, escape='"')
+    assert back.filter("nct_id = 'T1'").collect()[0]["q_8_desc"] == "one;\n two"
+
+
+def test_csv_source_by_name_and_type(spark, tmp_path):
+    path = str(tmp_path / "in.csv")
+    with open(path, "w") as f:
+        f.write('name,extra,nct_id\n"a ""quoted"";\n b",1,T1\n,2,T2\n')
+    assert rows(readers.read_csv(spark, path, "countries")) == [("T1", 'a "quoted";\n b'), ("T2", None)]
+    with open(path, "w") as f:
+        f.write("nct_id,ctgov_group_code,count\nT1,B1,12\nT2,B1,many\n")
+    assert rows(readers.read_csv(spark, path, "baseline_counts")) == [("T1", "B1", 12), ("T2", "B1", None)]
+
+
+def test_tsv_parquet_lines_keywords_titles(spark, tmp_path):
+    with open(tmp_path / "map.tsv", "w") as f:
+        f.write("MESH_ID\tname\tICD10CM_ID\nD1\tx\tJ45.1\n")
+    assert rows(readers.read_tsv(spark, str(tmp_path / "map.tsv"), "code_map_1")) == [("J45.1", "D1")]
+    writers.write_parquet(inputs(spark).countries, str(tmp_path / "countries"))
+    assert readers.read_parquet(spark, str(tmp_path / "countries"), "countries").count() == 5
+    with open(tmp_path / "lines.jsonl", "w") as f:
+        f.write('{"a": 1}\n{broken\n')
+    assert readers.read_lines(spark, str(tmp_path / "lines.jsonl")).count() == 2
+    with open(tmp_path / "words.csv", "w") as f:
+        f.write("keyword,note\napp store,x\nsensor,y\n")
+    assert readers.read_keywords(spark, str(tmp_path / "words.csv")) == ["app store", "sensor"]
+    with open(tmp_path / "titles.txt", "w") as f:
+        f.write("Race\n Age\n\n")
+    assert rows(readers.read_titles(spark, str(tmp_path / "titles.txt"))) == [(" Age",), ("Race",)]
+
+
+def test_database_ranges_cover_every_id():
+    assert readers.id_ranges("nct_id", []) == ["1 = 1"]
+    assert readers.id_ranges("nct_id", ["NCT01", "NCT03"]) == [
+        "nct_id < 'NCT01' OR nct_id IS NULL",
+        "nct_id >= 'NCT01' AND nct_id < 'NCT03'",
+        "nct_id >= 'NCT03'",
+    ]

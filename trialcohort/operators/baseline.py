@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from trialcohort.functions.fixed_values import TITLE_WORDS
 from trialcohort.functions.text import has_token
-from trialcohort.operators.skew import left_join_many
+from trialcohort.operators.skew import left_join_many, lookup_join
 
 UNKNOWN = "unknown"
 
@@ -23,7 +23,7 @@ def group_max_rows(df: DataFrame, key: str, value: str) -> DataFrame:
     """Rows holding their group's largest value, ties kept; a group of nulls only has none.
 
     A window would sort a whole group in one task. Here the maximum is combined map-side and only it
-    is joined back, a join whose left side can be split.
+    is joined back, on key and value: a fresh shuffle on both sides, which can be split at run time.
     """
     largest = df.groupBy(key).agg(F.max(value).alias(value))
     return df.join(largest, [key, value], "left_semi")
@@ -77,13 +77,12 @@ def title_candidates(df: DataFrame, title: str = "title", words: Iterable[str] =
 def with_title_category(df: DataFrame, dictionary: DataFrame, title: str = "title") -> DataFrame:
     """Adds cat_title: the category of the title, letter case aside but not blanks; 'unknown' without one.
 
-    One title may be that of a third of all rows: the dictionary is broadcast while it is small, and
-    beyond that the rows are on the side that can be split.
+    One title may be that of a third of all rows.
     """
     keyed = df.withColumn("title_lc", F.lower(F.col(title)))
     named = dictionary.select("title_lc", F.col("category").alias("cat_title"))
     return (
-        keyed.join(named, "title_lc", "left")
+        lookup_join(keyed, named, ["title_lc"])
         .drop("title_lc")
         .withColumn("cat_title", F.coalesce("cat_title", F.lit(UNKNOWN)))
     )

@@ -1,9 +1,12 @@
 """Joins and lists that survive a key holding a large share of all rows.
 
-Joins are written so that the side with hot keys stands where adaptive execution can split its
-partitions (left, or either side of an inner join), and so that a small other side is broadcast after
-Spark's own size check. Lists cannot be split by the engine, so here a hot key's rows are spread over
-several lists. No row is ever dropped.
+Adaptive execution splits a hot partition only where both sides of a join are fresh shuffles, which a
+side aggregated or joined on the same key is not. So rows are salted here: lookup tables, being small,
+are repeated for every salt, large tables for hot keys only. Lists cannot be split by the engine at
+all, so a hot key's rows are spread over several lists. No row is ever dropped.
+
+A salt comes from the number of the partition a row is in: it needs no other column, spreads copies of
+a row too, and is the same again when a lost task is run once more.
 """
 
 from __future__ import annotations
@@ -13,7 +16,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+SALTS = 16
 HOT_KEYS = 50_000
+ROWS_PER_SALT = 1_000_000
+MAX_SALTS = 2_000
 PART_SIZE = 100_000
 
 
@@ -24,21 +30,41 @@ def _all(conditions: Sequence[Column]) -> Column:
     return together
 
 
-def null_safe_left_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Left join where a null key matches a null key."""
-    names = {k: f"__right_{i}" for i, k in enumerate(on)}
-    renamed = right.withColumnsRenamed(names)
-    condition = _all([F.col(k).eqNullSafe(F.col(names[k])) for k in on])
-    return left.join(renamed, condition, "left").drop(*names.values())
+def lookup_join(
+    rows: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "left", null_safe: bool = False
+) -> DataFrame:
+    """Rows joined to a lookup table of small size, hot keys of the rows spread over SALTS tasks.
+
+    Spark broadcasts the lookup when its own size check allows. With `null_safe` a null key matches a
+    null key.
+    """
+    names = {k: f"__lookup_{i}" for i, k in enumerate(on)}
+    salted = rows.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    repeated = lookup.withColumnsRenamed(names).withColumn(
+        "__lookup_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    )
+    equal = [F.col(k).eqNullSafe(F.col(n)) if null_safe else F.col(k) == F.col(n) for k, n in names.items()]
+    condition = _all([*equal, F.col("__salt") == F.col("__lookup_salt")])
+    return salted.join(repeated, condition, how).drop("__salt", "__lookup_salt", *names.values())
 
 
-def left_join_many(left: DataFrame, many: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Left join to a side with many rows per key.
+def left_join_many(
+    left: DataFrame, many: DataFrame, on: Sequence[str], rows_per_salt: int = ROWS_PER_SALT
+) -> DataFrame:
+    """Left join to a large side with many rows per key.
 
-    A left join's right side cannot be split at run time. So matched rows come from an inner join, which
-    can be split on both sides, and the others from an anti join with the distinct keys.
+    Rows of `left` are repeated only for keys that are hot in `many`, once per `rows_per_salt` rows. As
+    they may then find no partner under some salt, rows without any come from an anti join.
     """
-    matched = left.join(many, list(on))
+    hot = F.broadcast(
+        hot_keys(many, on, rows_per_salt + 1).withColumn(
+            "__salts", F.least(F.ceil(F.col("hot_rows") / rows_per_salt), F.lit(MAX_SALTS)).cast("int")
+        )
+    ).drop("hot_rows")
+    salts = F.coalesce("__salts", F.lit(1))
+    salted = many.join(hot, list(on), "left").withColumn("__salt", F.pmod(F.spark_partition_id(), salts))
+    repeated = left.join(hot, list(on), "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    matched = repeated.drop("__salts").join(salted.drop("__salts"), [*on, "__salt"]).drop("__salt")
     without = left.join(many.select(*on).distinct(), list(on), "left_anti")
     return matched.unionByName(without, allowMissingColumns=True)
 
