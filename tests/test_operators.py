@@ -43,7 +43,7 @@ def test_null_safe_left_join(spark):
 
 def test_hot_keys(spark):
     df = spark.createDataFrame([("a",)] * 5 + [("b",)] * 2 + [("c",)], "k string")
-    assert rows(skew.hot_keys(df, ["k"], 2)) == [("a", 5), ("b", 2)]
+    assert rows(skew.hottest(skew.key_counts(df, ["k"]), ["k"], 2)) == [("a", 5), ("b", 2)]
 
 
 def test_long_lists_come_in_parts_and_lose_nothing(spark):

@@ -4,11 +4,13 @@ import os
 import pytest
 
 from tests.conftest import rows
-from tests.fixture_tables import inputs
+from tests.fixture_tables import DATA, KEYWORDS, TITLES, inputs
+from trialcohort import __main__ as command_line
 from trialcohort.operators import study
 from trialcohort.plans import pipeline
 from trialcohort.plans.staging import shared_folder
 from trialcohort.sources import readers, writers
+from trialcohort.sources.schemas import SCHEMAS
 
 
 @pytest.fixture(scope="module")
@@ -171,3 +173,35 @@ def test_database_ranges_cover_every_id():
         "nct_id >= 'NCT01' AND nct_id < 'NCT03'",
         "nct_id >= 'NCT03'",
     ]
+
+
+def write_inputs(spark, folder):
+    for name, data in DATA.items():
+        table = spark.createDataFrame(data, SCHEMAS[name]).coalesce(1)
+        writers.write_csv(table, f"{folder}/{name}.csv")
+    for name, values in (("titles", TITLES), ("keywords", KEYWORDS)):
+        writers.write_csv(spark.createDataFrame([(v,) for v in values], SCHEMAS[name]), f"{folder}/{name}.csv")
+
+
+def test_command_line(spark, tmp_path, wide, monkeypatch):
+    write_inputs(spark, tmp_path / "in")
+    monkeypatch.setattr("sys.argv", ["trialcohort", "requests", f"{tmp_path}/in", f"{tmp_path}/ask", "--format", "csv"])
+    command_line.main()
+    asked = [json.loads(r.value) for r in spark.read.text(f"{tmp_path}/ask").collect()]
+    assert {a["custom_id"] for a in asked} >= {"task-Women", "task-Islander"}
+
+    answers = [
+        {"response": {"body": {"choices": [{"message": {"content": json.dumps(
+            {"cat_title": c, "cat_exp": e or "nan", "piv_cat": p})}}]}}}
+        for c, e, p in DATA["labels"]
+    ]
+    with open(tmp_path / "answers.jsonl", "w") as f:
+        f.write("\n".join(json.dumps(a) for a in answers) + "\n{broken\n")
+    out = f"{tmp_path}/out"
+    monkeypatch.setattr(
+        "sys.argv",
+        ["trialcohort", "run", f"{tmp_path}/in", out, "--format", "csv", "--responses", f"{tmp_path}/answers.jsonl"],
+    )
+    command_line.main()
+    got = {r["NCT_id"]: r.asDict() for r in spark.read.parquet(f"{out}/trials").collect()}
+    assert got == wide

@@ -56,32 +56,32 @@ def left_join_many(
     Rows of `left` are repeated only for keys that are hot in `many`, once per `rows_per_salt` rows. As
     they may then find no partner under some salt, rows without any come from an anti join.
     """
+    counts = key_counts(many, on)
     hot = F.broadcast(
-        hot_keys(many, on, rows_per_salt + 1).withColumn(
-            "__salts", F.least(F.ceil(F.col("hot_rows") / rows_per_salt), F.lit(MAX_SALTS)).cast("int")
+        hottest(counts, on, rows_per_salt + 1).select(
+            *on, F.least(F.ceil(F.col("hot_rows") / rows_per_salt), F.lit(MAX_SALTS)).cast("int").alias("__salts")
         )
-    ).drop("hot_rows")
+    )
     salts = F.coalesce("__salts", F.lit(1))
     salted = many.join(hot, list(on), "left").withColumn("__salt", F.pmod(F.spark_partition_id(), salts))
     repeated = left.join(hot, list(on), "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), salts - 1)))
     matched = repeated.drop("__salts").join(salted.drop("__salts"), [*on, "__salt"]).drop("__salt")
-    without = left.join(many.select(*on).distinct(), list(on), "left_anti")
+    # The condition keeps the count in use, so that both uses of `counts` share one shuffle.
+    without = left.join(counts.filter("hot_rows > 0"), list(on), "left_anti")
     return matched.unionByName(without, allowMissingColumns=True)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int) -> DataFrame:
-    """Keys with at least `min_rows` rows and their row count `hot_rows`.
+def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The number of rows of each key, `hot_rows`; counted map-side first, on the key columns alone."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("hot_rows"))
+
 
-    Counted map-side first, on the key columns alone. At most HOT_KEYS rows, which may be broadcast at
-    any data size; a key not among them holds less than 1/HOT_KEYS of all rows.
+def hottest(counts: DataFrame, keys: Sequence[str], min_rows: int) -> DataFrame:
+    """Keys with at least `min_rows` rows, at most HOT_KEYS of them.
+
+    May be broadcast at any data size; a key not among them holds less than 1/HOT_KEYS of all rows.
     """
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("hot_rows"))
-        .filter(F.col("hot_rows") >= min_rows)
-        .orderBy(F.desc("hot_rows"), *keys)
-        .limit(HOT_KEYS)
-    )
+    return counts.filter(F.col("hot_rows") >= min_rows).orderBy(F.desc("hot_rows"), *keys).limit(HOT_KEYS)
 
 
 def with_list_part(
@@ -100,7 +100,7 @@ def with_list_part(
     """
     names = {k: f"__hot_{i}" for i, k in enumerate(keys)}
     hot = F.broadcast(
-        hot_keys(df, keys, part_size + 1).select(
+        hottest(key_counts(df, keys), keys, part_size + 1).select(
             *[F.col(k).alias(names[k]) for k in keys],
             F.ceil(F.col("hot_rows") / part_size).cast("bigint").alias("__parts"),
         )

@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from trialcohort.functions.fixed_values import PIVOT_COLUMNS, REQUEST_CHUNKS
-from trialcohort.operators.baseline import baseline_rows, categorise, null_pattern_report
+from trialcohort.operators.baseline import (
+    baseline_rows,
+    categorise,
+    null_pattern_report,
+    title_dictionary,
+)
 from trialcohort.operators.icd import chapter_frame, icd_map
-from trialcohort.operators.labels import label_requests, unique_labels
+from trialcohort.operators.labels import label_requests, label_table, unique_labels
 from trialcohort.operators.represent import (
     SHARES,
     demographic_sums,
@@ -36,7 +41,9 @@ from trialcohort.operators.text_flags import (
     trial_text,
 )
 from trialcohort.plans.staging import staged, written
-from trialcohort.sources.writers import write_csv, write_requests
+from trialcohort.sources.readers import keyword_list, read_csv, read_database, read_lines, read_parquet
+from trialcohort.sources.schemas import REGISTRY_TABLES
+from trialcohort.sources.writers import write_csv, write_parquet, write_requests
 
 
 @dataclass(frozen=True)
@@ -66,6 +73,31 @@ class Inputs:
     keywords: Sequence[str]
 
 
+def read_inputs(spark: SparkSession, folder: str, file_format: str = "parquet", responses: str | None = None) -> Inputs:
+    """All input tables of a folder, each in `<table>.parquet` or `<table>.csv` (a file or a folder).
+
+    The labels come from response lines when their folder is given.
+    """
+
+    def table(name: str) -> DataFrame:
+        path = f"{folder}/{name}.{file_format}"
+        return read_csv(spark, path, name) if file_format == "csv" else read_parquet(spark, path, name)
+
+    names = [f.name for f in fields(Inputs) if f.name not in ("titles", "labels", "keywords")]
+    return Inputs(
+        **{name: table(name) for name in names},
+        titles=title_dictionary(table("titles")),
+        labels=table("labels") if responses is None else label_table(read_lines(spark, responses)),
+        keywords=keyword_list(table("keywords")),
+    )
+
+
+def extract(spark: SparkSession, url: str, bounds: list[str], properties: dict[str, str], out: str) -> None:
+    """Copies the registry's base tables from its database to parquet below `out`."""
+    for name in REGISTRY_TABLES:
+        write_parquet(read_database(spark, url, name, bounds, properties), f"{out}/{name}.parquet")
+
+
 TRIAL_COLUMNS = [
     "NCT_id", "sum_Enrollment", "Enrollment", "study_Country", "study_Type", "FDAreg_Drug", "FDAreg_Device",
     "unapp_Device", "Status", "st_Date", "comp_Date", "Phase", "no_Arms", "Sampling", "e_Gender", "e_min_Age",

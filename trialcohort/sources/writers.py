@@ -24,8 +24,15 @@ def flat(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV part files with a header; quotes are doubled, line breaks stay inside their cell."""
-    flat(df).write.mode("overwrite").csv(path, header=True, quote='"', escape='"')
+    """CSV part files with a header; quotes are doubled, line breaks and outer blanks stay in their cell."""
+    flat(df).write.mode("overwrite").csv(
+        path,
+        header=True,
+        quote='"',
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
 
 
 def write_requests(requests: DataFrame, path: str) -> None:
