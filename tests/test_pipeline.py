@@ -6,6 +6,7 @@ import pytest
 from tests.conftest import rows
 from tests.fixture_tables import DATA, KEYWORDS, TITLES, inputs
 from trialcohort import __main__ as command_line
+from trialcohort.functions.fixed_values import CENSUS_NAMES, STUDY_COLUMNS
 from trialcohort.operators import study
 from trialcohort.plans import pipeline
 from trialcohort.plans.staging import shared_folder
@@ -20,7 +21,7 @@ def wide(spark):
 
 def given(row, *left_out):
     """What is not null, without the figures of the census and the named columns."""
-    census = {p + c for p in ("st_", "comp_") for c in study.CENSUS_NAMES.values()}
+    census = {p + c for p in ("st_", "comp_") for c in CENSUS_NAMES.values()}
     return {k: v for k, v in row.items() if v is not None and k not in census and k not in left_out}
 
 
@@ -125,7 +126,7 @@ def test_shared_folder_is_the_sessions(spark):
 
 def test_star_counts_rows(spark):
     star = pipeline.star_of(inputs(spark))
-    assert star.columns == study.STUDY_COLUMNS
+    assert star.columns == STUDY_COLUMNS
     assert star.count() == 7
     sums = {r.nct_id: r.sum_Enrollment for r in study.enrollment_sums(star).collect()}
     assert sums["T2"] == 0 and sums["T1"] == 200 and sums["T6"] == 50

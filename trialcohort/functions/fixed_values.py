@@ -77,6 +77,82 @@ PIVOT_COLUMNS = {
     "unknown_r": "unknown_r",
 }
 
+# Columns of the studies, one row per trial and country.
+STUDY_COLUMNS = [
+    "nct_id",
+    "study_type",
+    "is_fda_regulated_drug",
+    "is_fda_regulated_device",
+    "is_unapproved_device",
+    "overall_status",
+    "enrollment",
+    "start_date",
+    "completion_date",
+    "phase",
+    "number_of_arms",
+    "sampling_method",
+    "gender",
+    "minimum_age",
+    "maximum_age",
+    "name",
+    "were_results_reported",
+]
+
+# Study column -> column of the trial frame.
+TRIAL_NAMES = {
+    "nct_id": "NCT_id",
+    "study_type": "study_Type",
+    "is_fda_regulated_drug": "FDAreg_Drug",
+    "is_fda_regulated_device": "FDAreg_Device",
+    "is_unapproved_device": "unapp_Device",
+    "overall_status": "Status",
+    "start_date": "st_Date",
+    "completion_date": "comp_Date",
+    "phase": "Phase",
+    "number_of_arms": "no_Arms",
+    "sampling_method": "Sampling",
+    "gender": "e_Gender",
+    "minimum_age": "e_min_Age",
+    "maximum_age": "e_max_Age",
+    "were_results_reported": "rep_res",
+    "start_year": "st_Year",
+    "completion_year": "comp_Year",
+}
+
+# Census column -> name after the role prefix st_ or comp_.
+CENSUS_NAMES = {
+    "male": "Male",
+    "female": "Female",
+    "age_lt18": "<18 Years",
+    "age_18_65": "18:65 Years",
+    "age_gt65": ">65 years",
+    "white": "White",
+    "hispanic": "Hispanic",
+    "black": "Black",
+    "am_indian": "am_Indian",
+    "asian": "Asian",
+    "hawaiian": "Hawaiian",
+    "mixed": "mixed",
+}
+
+# Share column -> the figure it is a share of enrollment of.
+SHARES = {
+    "Perc_Male": "Male",
+    "Perc_Female": "Female",
+    "u_Perc_Gender": "unknown_g",
+    "Perc_<18 years": "<18 years",
+    "Perc_18:65 years": "18:65 years",
+    "Perc_>65 years": ">65 years",
+    "u_Perc_Age": "unknown_a",
+    "R_other": None,
+    "Perc_White": "White",
+    "Perc_Black": "Black",
+    "Perc_Hispanic": "Hispanic",
+    "Perc_Asian": "Asian",
+    "Perc_Other": "R_other",
+    "u_Perc_Race": "unknown_r",
+}
+
 # Text columns searched for keywords, in the order they are joined.
 SEARCHED_COLUMNS = [
     "official_title",
@@ -106,4 +182,12 @@ and 'piv_cat' designates the assigned label from list {cat}.
 """
 PROMPT_SUFFIX = " Please respond in JSON format."
 REQUEST_MODEL = "gpt-4o-mini"
+REQUEST_URL = "/v1/chat/completions"
+REQUEST_SETTINGS = {
+    "temperature": 0,
+    "max_tokens": 200,
+    "top_p": 1,
+    "presence_penalty": 0,
+    "frequency_penalty": 0,
+}
 REQUEST_CHUNKS = 5

@@ -21,6 +21,7 @@ HOT_KEYS = 50_000
 ROWS_PER_SALT = 1_000_000
 MAX_SALTS = 2_000
 PART_SIZE = 100_000
+TEXT_PART_SIZE = 5_000  # texts are long
 
 
 def _all(conditions: Sequence[Column]) -> Column:

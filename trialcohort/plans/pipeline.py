@@ -7,7 +7,7 @@ from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trialcohort.functions.fixed_values import PIVOT_COLUMNS, REQUEST_CHUNKS
+from trialcohort.functions.fixed_values import CENSUS_NAMES, PIVOT_COLUMNS, REQUEST_CHUNKS, SHARES
 from trialcohort.operators.baseline import (
     baseline_rows,
     categorise,
@@ -17,16 +17,14 @@ from trialcohort.operators.baseline import (
 from trialcohort.operators.icd import chapter_frame, icd_map
 from trialcohort.operators.labels import label_requests, label_table, unique_labels
 from trialcohort.operators.represent import (
-    SHARES,
     demographic_sums,
     enrollment_lists,
     enrollment_rows,
     representation,
 )
 from trialcohort.operators.sampling import keep_sample
-from trialcohort.operators.skew import PART_SIZE
+from trialcohort.operators.skew import PART_SIZE, TEXT_PART_SIZE
 from trialcohort.operators.study import (
-    CENSUS_NAMES,
     aligned_lists,
     country_lists,
     study_facts,
@@ -172,7 +170,7 @@ def categorised_baselines(inputs: Inputs) -> DataFrame:
     return categorise(baseline_rows(inputs.baseline_counts, inputs.baseline_measurements), inputs.titles)
 
 
-def text_of(inputs: Inputs, part_size: int = PART_SIZE) -> DataFrame:
+def text_of(inputs: Inputs, part_size: int = TEXT_PART_SIZE) -> DataFrame:
     return trial_text(
         inputs.studies,
         inputs.interventions,
@@ -200,7 +198,9 @@ def star_of(inputs: Inputs) -> DataFrame:
     return study_star(inputs.studies, inputs.eligibilities, inputs.countries, inputs.calculated_values)
 
 
-def flags_of(inputs: Inputs, sample_n: int | None = None, seed: int = 0, part_size: int = PART_SIZE) -> DataFrame:
+def flags_of(
+    inputs: Inputs, sample_n: int | None = None, seed: int = 0, part_size: int = TEXT_PART_SIZE
+) -> DataFrame:
     """Keyword flags of all trials, or of a repeatable sample of them."""
     text = text_of(inputs, part_size)
     return keyword_flags(text if sample_n is None else keep_sample(text, "nct_id", sample_n, seed), inputs.keywords)
@@ -217,7 +217,7 @@ def build_all(
     return wide_table(
         stage(star_of(inputs), "studies"),
         inputs.census,
-        flags_of(inputs, sample_n, seed, part_size),
+        flags_of(inputs, sample_n, seed, min(part_size, TEXT_PART_SIZE)),
         inputs.interventions,
         inputs.sponsors,
         icd_of(inputs),
