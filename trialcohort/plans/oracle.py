@@ -117,24 +117,28 @@ SELECT CAST(l_orderkey AS VARCHAR), nullif(r_name, 'ASIA'), 'collaborator'
 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
      JOIN region ON n_regionkey = r_regionkey"""
 
-TERM = "p_name || ' ' || p_brand || ' ' || (p_size % 5)"
-CODE = "chr(CAST(65 + p_partkey % 26 AS INTEGER)) || lpad(CAST(p_size AS VARCHAR), 2, '0') || '.' || (p_partkey % 10)"
+CONCEPT = "((p_partkey // 4) % 30000)"
+TERM = f"p_name || ' ' || {CONCEPT}"
+CODE = (
+    f"chr(CAST(65 + {CONCEPT} % 26 AS INTEGER)) || lpad(CAST(({CONCEPT} * 7 + p_size % 3) % 100 AS VARCHAR), 2, '0')"
+    " || '.' || (p_partkey % 10)"
+)
 
 CTES["in_conditions"] = f"""
 SELECT CAST(l_orderkey AS VARCHAR) AS nct_id,
        CASE WHEN l_tax > 0.04 THEN upper({TERM}) ELSE {TERM} END AS mesh_term
 FROM lineitem JOIN part ON l_partkey = p_partkey"""
 
-CTES["in_map_1"] = f"SELECT {CODE} AS icd, 'D' || (p_partkey // 4) AS mesh FROM part"
+CTES["in_map_1"] = f"SELECT {CODE} AS icd, 'D' || {CONCEPT} AS mesh FROM part"
 
-CTES["in_map_2"] = """
-SELECT chr(CAST(65 + p_size % 26 AS INTEGER)) || lpad(CAST(p_partkey % 100 AS VARCHAR), 2, '0') AS icd,
-       CASE WHEN p_type = 'PROMO' THEN 'D' || (p_partkey // 4) END AS mesh
+CTES["in_map_2"] = f"""
+SELECT chr(CAST(66 + {CONCEPT} % 25 AS INTEGER)) || lpad(CAST({CONCEPT} % 100 AS VARCHAR), 2, '0') AS icd,
+       CASE WHEN p_type = 'PROMO' THEN 'D' || {CONCEPT} END AS mesh
 FROM part"""
 
 CTES["in_terms"] = f"""
-SELECT {TERM} AS label, CASE WHEN p_size % 3 <> 0 THEN {CODE} END AS icd_code, 
-       CASE WHEN p_size % 4 = 0 THEN 'X' ELSE 'D' END || (p_partkey // 4) AS mesh_code
+SELECT {TERM} AS label, CASE WHEN p_size % 3 <> 0 THEN {CODE} END AS icd_code,
+       CASE WHEN p_size % 4 = 0 THEN 'X' ELSE 'D' END || {CONCEPT} AS mesh_code
 FROM part"""
 
 CTES["in_trial_icd"] = """

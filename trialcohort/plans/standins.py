@@ -126,8 +126,13 @@ def sponsors(t: Tables) -> DataFrame:
     return lead.unionByName(others)
 
 
-TERM = "concat(p_name, ' ', p_brand, ' ', p_size % 5)"
-CODE = "concat(char(65 + p_partkey % 26), lpad(cast(p_size as string), 2, '0'), '.', p_partkey % 10)"
+# A vocabulary of terms with a few codes each, of bounded size like the real one.
+CONCEPT = "((p_partkey div 4) % 30000)"
+TERM = f"concat(p_name, ' ', {CONCEPT})"
+CODE = (
+    f"concat(char(65 + {CONCEPT} % 26), lpad(cast(({CONCEPT} * 7 + p_size % 3) % 100 as string), 2, '0'), '.', "
+    "p_partkey % 10)"
+)
 
 
 def browse_conditions(t: Tables) -> DataFrame:
@@ -137,13 +142,13 @@ def browse_conditions(t: Tables) -> DataFrame:
 
 
 def code_map_1(t: Tables) -> DataFrame:
-    return t.part.selectExpr(f"{CODE} as ICD10CM_ID", "concat('D', p_partkey div 4) as MESH_ID")
+    return t.part.selectExpr(f"{CODE} as ICD10CM_ID", f"concat('D', {CONCEPT}) as MESH_ID")
 
 
 def code_map_2(t: Tables) -> DataFrame:
     return t.part.selectExpr(
-        "concat(char(65 + p_size % 26), lpad(cast(p_partkey % 100 as string), 2, '0')) as ICD10CM_ID",
-        "case when p_type = 'PROMO' then concat('D', p_partkey div 4) end as MESH_ID",
+        f"concat(char(66 + {CONCEPT} % 25), lpad(cast({CONCEPT} % 100 as string), 2, '0')) as ICD10CM_ID",
+        f"case when p_type = 'PROMO' then concat('D', {CONCEPT}) end as MESH_ID",
     )
 
 
@@ -151,7 +156,7 @@ def mesh_icd(t: Tables) -> DataFrame:
     return t.part.selectExpr(
         f"{TERM} as label",
         f"case when p_size % 3 <> 0 then {CODE} end as icd_code",
-        "concat(if(p_size % 4 = 0, 'X', 'D'), p_partkey div 4) as mesh_code",
+        f"concat(if(p_size % 4 = 0, 'X', 'D'), {CONCEPT}) as mesh_code",
     )
 
 
