@@ -40,7 +40,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rest = found.filter(F.col("group_id").isNull()).select("k1", "k2", F.lit(False).alias("_one")).distinct()
     kept = stage(one.unionByName(rest), "kept").select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "_one")
     k1, k2 = row_key()
-    rows = docs.select(*COLUMNS, k1.alias("_k1"), k2.alias("_k2")).join(kept, ["_k1", "_k2"])
+    rows = docs.select(*COLUMNS, k1.alias("_k1"), k2.alias("_k2")).join(kept.hint("merge"), ["_k1", "_k2"])
     # of rows equal in doc_id and text, one stays in a group
     rows = rows.withColumn("_row", F.when(F.col("_one"), F.lit(0).cast("long")).otherwise(F.monotonically_increasing_id()))
     return rows.dropDuplicates(["_k1", "_k2", "_row"]).select(*COLUMNS)
@@ -51,7 +51,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = stage(hits(docs, table(spark, sf_dir, "benchmark")).select("k1", "k2").distinct(), "contaminated")
     found = found.select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"))
     k1, k2 = row_key()
-    return docs.select(*COLUMNS, k1.alias("_k1"), k2.alias("_k2")).join(found, ["_k1", "_k2"], "left_anti").select(*COLUMNS)
+    return docs.select(*COLUMNS, k1.alias("_k1"), k2.alias("_k2")).join(found.hint("merge"), ["_k1", "_k2"], "left_anti").select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -151,7 +151,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     star = shared.filter((F.col("cid") != F.col("center.cid")) & fits(F.col("n"), F.col("center.n")))
     star = star.select(F.col("cid").alias("a"), F.col("center.cid").alias("b")).distinct()
     wanted = shared.select("cid").distinct().join(classes.select("cid", "rep.k1", "rep.k2"), "cid")
-    texts = stage(keyed.select("k1", "k2", "text").join(wanted, ["k1", "k2"]).select("cid", "text"), "texts")
+    texts = stage(keyed.select("k1", "k2", "text").join(wanted.hint("merge"), ["k1", "k2"]).select("cid", "text"), "texts")
     links = stage(verified(star, texts, shingle, percent), "links")
     roots = connected_components(links)
 

@@ -105,9 +105,10 @@ def line_dedup(docs: DataFrame, lines: int = LINES, carry: list[str] | None = No
     carry = [x for x in (docs.columns if carry is None else carry) if x not in ("n_lines", "n_removed")]
     needed = list(dict.fromkeys([*carry, "text"]))
     places = repeated_line_windows(docs, lines).groupBy("k1", "k2").agg(F.collect_set("at").alias("_places"))
+    # places grow with the documents, so they are merged, not broadcast, at any size
     places = stage(places, "places").select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "_places")
     k1, k2 = row_key()
-    keyed = docs.select(*needed, k1.alias("_k1"), k2.alias("_k2")).join(places, ["_k1", "_k2"], "left")
+    keyed = docs.select(*needed, k1.alias("_k1"), k2.alias("_k2")).join(places.hint("merge"), ["_k1", "_k2"], "left")
     schema = StructType([docs.schema[x] for x in needed] + [StructField("n_lines", LongType()), StructField("n_removed", LongType())])
     return keyed.mapInArrow(removing(lines, needed), schema)
 

@@ -240,7 +240,7 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     found = rows.join(shared, ["name", "content", "size"]).select("k1", "k2", F.struct("at", "size", (place == F.col("lead")).alias("first")).alias("mark"))
     found = found.groupBy("k1", "k2").agg(F.collect_set("mark").alias("marks"))
     marks = stage(found, "marks")
-    unsure = keyed.join(marks, ["k1", "k2"])
+    unsure = keyed.join(marks.hint("merge"), ["k1", "k2"])  # marks grow with the documents: never broadcast
     cand = stage(unsure.mapInArrow(checking(window), "h1 long, h2 long, k1 long, k2 long, at int"), "windows")
     twice = cand.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
     windows = cand.join(twice, ["h1", "h2"]).groupBy("k1", "k2").agg(F.collect_set(F.struct("at", F.lit(window).alias("size"))).alias("marks"))
@@ -269,7 +269,7 @@ def cutting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """Per row of docs: doc_id, n_words, n_removed, kept (the words that stay, joined by one blank), kept_sha256."""
     marks = stage(repeats(docs, window), "repeats")
-    rows = docs.select("doc_id", *row_key(), "text").join(marks, ["k1", "k2"], "left").select("doc_id", "text", "marks")
+    rows = docs.select("doc_id", *row_key(), "text").join(marks.hint("merge"), ["k1", "k2"], "left").select("doc_id", "text", "marks")
     return rows.mapInArrow(cutting, "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string")
 
 
