@@ -8,8 +8,9 @@ share no band once in twenty million pairs.
 
 Documents with equal sets form one class, so copies cost one row each and are linked by their set. Classes that share a
 band are compared with the least class of that band, exactly, on their full sets; what is linked then forms components.
-Bands that still hold more than one component are searched pair by pair between components, so that no link
-between any two candidates is lost; pairs inside a component need no further look.
+Classes in bands that still hold more than one component are compared in blocks: whatever is joined by such bands is cut
+into blocks of bounded size, every two blocks meet in a task, and a matrix product over shingles gives all intersections at
+once. So no link between any two candidates is lost, and only links, not pairs, leave a task.
 
 A document without words or with a null text has an empty set, linked with nothing. Rows equal in doc_id and text are
 linked like any copies. A null doc_id takes part in links but names no component unless nothing else can; it is kept only
@@ -33,6 +34,8 @@ from trialcohort.llm.components import connected_components
 SHINGLE = 5
 BANDS, ROWS = 32, 4
 PERCENT = 80
+BLOCK_ROWS, BLOCK_BYTES = 256, 8 << 20
+COLUMNS = 8_192  # shingles of one matrix product
 
 
 def shingle_sets(text: T.Words, shingle: int) -> tuple[np.ndarray, np.ndarray]:
@@ -133,6 +136,57 @@ def verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     return rows.mapInArrow(verifying(shingle, percent), "a long, b long")
 
 
+def crossing(shingle: int, percent: int) -> Callable[[pa.Table], pa.Table]:
+    """Links (a, b) between rows (cid, root, text, block) of two blocks with different roots, or within one block."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        root, cid, block = (rows.column(x).to_numpy() for x in ("root", "cid", "block"))
+        sets = []
+        for batch in rows.select(["text"]).combine_chunks().to_batches():
+            for part in T.slices(batch):
+                names, begin = shingle_sets(T.of(part, T.SOLID, True), shingle)
+                sets += [names[a:b] for a, b in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True)]
+        size = np.array([len(x) for x in sets])
+        row = np.repeat(np.arange(len(sets)), size)
+        _, token, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        seen = times[token] > 1  # other shingles are in no intersection
+        place = np.cumsum(times > 1) - 1
+        row, token = row[seen], place[token[seen]]
+        order = np.argsort(token, kind="stable")
+        row, token = row[order], token[order]
+        both = np.zeros((len(sets), len(sets)), np.float32)
+        for start in range(0, int(token[-1]) + 1 if len(token) else 0, COLUMNS):
+            a, b = np.searchsorted(token, (start, start + COLUMNS))
+            held = np.zeros((len(sets), COLUMNS), np.float32)
+            held[row[a:b], token[a:b] - start] = 1
+            both += held @ held.T
+        union = size[:, None] + size[None, :] - both
+        linked = (100 * both >= percent * union) & (root[:, None] != root[None, :])
+        if block.min() != block.max():
+            linked &= block[:, None] != block[None, :]
+        x, y = np.nonzero(np.triu(linked, 1))
+        return pa.table({"a": cid[x], "b": cid[y]})
+
+    return run
+
+
+def between_components(placed: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links (a, b) between classes of different roots among rows (cid, center, root) of bands that hold several.
+
+    What such bands connect is cut into blocks of about BLOCK_ROWS classes and BLOCK_BYTES of text, and every two blocks are
+    a group of bounded size; a class is repeated once for each block.
+    """
+    whole = connected_components(placed.select(F.col("cid").alias("a"), F.col("center").alias("b")))
+    members = placed.select("cid", "root").distinct().join(whole.select(F.col("node").alias("cid"), F.col("root").alias("whole")), "cid")
+    members = stage(members.join(texts.dropDuplicates(["cid"]), "cid"), "members")
+    parts = F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum(F.octet_length("text")) / BLOCK_BYTES)).cast("int")
+    sizes = members.groupBy("whole").agg(parts.alias("parts"))
+    rows = members.join(sizes, "whole").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    rows = rows.select("whole", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "cid", "root", "text", "block")
+    return rows.groupBy("whole", "low", "high").applyInArrow(crossing(shingle, percent), "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Per row of docs: k1, k2 (its key), doc_id, n_shingles, group_id (null: empty set), component_id (the least doc_id that links reach, its own included), kept.
 
@@ -158,15 +212,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     def named(frame: DataFrame, roots: DataFrame) -> DataFrame:
         return frame.join(roots.select(F.col("node").alias("cid"), "root"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
 
-    # bands with more than one component left: their pairs between components that weren't compared yet
-    placed = named(shared.select("key", "cid", "n"), roots)
+    # bands with more than one component left
+    placed = named(shared.select("key", "cid", F.col("center.cid").alias("center")), roots)
     mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("key")
-    placed = stage(placed.join(mixed, "key"), "mixed")
-    one, two = (placed.select("key", F.col("cid").alias(x), F.col("n").alias(f"n_{x}"), F.col("root").alias(f"root_{x}")) for x in ("a", "b"))
-    rest = one.join(two, "key").filter((F.col("a") > F.col("b")) & (F.col("root_a") != F.col("root_b")) & fits(F.col("n_a"), F.col("n_b")))
-    rest = stage(rest.select("a", "b").distinct().join(star, ["a", "b"], "left_anti"), "rest")
-    if not rest.isEmpty():
-        links = stage(links.unionByName(verified(rest, texts, shingle, percent)), "links")
+    placed = stage(placed.join(mixed, "key").select("cid", "center", "root").distinct(), "mixed")
+    if not placed.isEmpty():
+        more = between_components(placed, texts, shingle, percent)
+        links = stage(links.unionByName(more), "links")
         roots = connected_components(links)
     roots = stage(named(classes.select("cid", "cls", "id"), roots), "roots")
     names = roots.groupBy("root").agg(F.min("id").alias("component_id"))
