@@ -55,6 +55,13 @@ def test_overlapping_keywords_and_case(spark):
     ]
 
 
+def test_keywords_beyond_the_first_plane(spark):
+    deseret = "\U00010428ab"  # a letter with two cases
+    assert values(spark, keyword_hits(F.col("t"), keyword_pattern([deseret])), [("x \U00010400AB y",)], "t string") == [[deseret]]
+    pattern = keyword_pattern([deseret, "ring"])
+    assert values(spark, keyword_hits(F.col("t"), pattern), [(f"ring {deseret}",)], "t string") == [["ring", deseret]]
+
+
 def test_letters_of_any_script_are_word_characters(spark):
     pattern = keyword_pattern(["app"])
     data = [("Éapp",), ("appé",), ("é app ñ",), ("_app",), ("app2",), ("(app)",)]

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+from collections import defaultdict
 from collections.abc import Iterable, Sequence
+from functools import cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,9 +26,20 @@ def _is_word(c: str) -> bool:
     return c.isalnum() or c == "_"
 
 
+@cache
+def _by_case() -> tuple[dict[str, set[str]], dict[str, set[str]]]:
+    """All characters of Unicode by their lower and by their upper form."""
+    lower, upper = defaultdict(set), defaultdict(set)
+    for c in map(chr, range(sys.maxunicode + 1)):
+        lower[c.lower()].add(c)
+        upper[c.upper()].add(c)
+    return lower, upper
+
+
 def _case_variants(c: str) -> set[str]:
-    """Every character that equals c when letter case is ignored."""
-    return {v for v in map(chr, range(0x10000)) if v.lower() == c or v.upper() == c.upper()}
+    """Every character that equals c when letter case is ignored, c included."""
+    lower, upper = _by_case()
+    return {c} | lower.get(c, set()) | upper.get(c.upper(), set())
 
 
 def keyword_pattern(keywords: Iterable[str]) -> str:
