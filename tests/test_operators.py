@@ -1,10 +1,11 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from trialcohort.functions.fixed_values import CATEGORY_LABELS, ICD10_CHAPTERS, PIVOT_COLUMNS
-from trialcohort.operators import baseline, icd, labels, represent, sampling, skew, study, text_flags
+from trialcohort.operators import baseline, icd, joins, labels, paging, represent, sampling, study, text_flags
 
 MEASUREMENT = (
     "nct_id string, ctgov_group_code string, classification string, category string, title string, units string, "
@@ -18,51 +19,64 @@ MEASUREMENT = (
 def test_left_join_many_keeps_unmatched_rows_once(spark):
     left = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (None, "d")], "k int, l string")
     many = spark.createDataFrame([(1, "x"), (1, "y"), (3, "z"), (None, "n")], "k int, m string")
-    assert rows(skew.left_join_many(left, many, ["k"])) == rows(left.join(many, "k", "left"))
+    assert rows(joins.left_join_many(left, many, ["k"])) == rows(left.join(many, "k", "left"))
 
 
 def test_left_join_many_with_hot_keys(spark):
     many = spark.createDataFrame([("hot", i) for i in range(500)] + [("b", 1), ("c", 2)], "k string, v int").repartition(8)
     left = spark.createDataFrame([("hot", "x"), ("hot", "y"), ("b", "z"), ("none", "u"), (None, "w")], "k string, l string")
-    assert rows(skew.left_join_many(left, many, ["k"], rows_per_salt=20)) == rows(left.join(many, "k", "left"))
+    assert rows(joins.left_join_many(left, many, ["k"])) == rows(left.join(many, "k", "left"))
 
 
 def test_lookup_join(spark):
     many = spark.createDataFrame([(f"k{i % 4}", i) for i in range(300)] + [(None, 7)], "k string, v int").repartition(8)
     lookup = spark.createDataFrame([("k1", "a"), ("k1", "b"), ("k2", "c"), (None, "d")], "k string, l string")
     for how in ("left", "inner"):
-        assert rows(skew.lookup_join(many, lookup, ["k"], how)) == rows(many.join(lookup, "k", how))
+        assert rows(joins.lookup_join(many, lookup, ["k"], how)) == rows(many.join(lookup, "k", how))
 
 
 def test_null_safe_left_join(spark):
     left = spark.createDataFrame([("a", None), ("a", "x"), (None, None), ("b", "x")], "k string, e string")
     right = spark.createDataFrame([("a", None, 1), (None, None, 2)], "k string, e string, v int")
-    joined = skew.lookup_join(left, right, ["k", "e"], null_safe=True)
+    joined = joins.lookup_join(left, right, ["k", "e"], null_safe=True)
     assert rows(joined) == sorted([("a", None, 1), ("a", "x", None), (None, None, 2), ("b", "x", None)], key=repr)
 
 
-def test_hot_keys(spark):
-    df = spark.createDataFrame([("a",)] * 5 + [("b",)] * 2 + [("c",)], "k string")
-    assert rows(skew.hottest(skew.key_counts(df, ["k"]), ["k"], 2)) == [("a", 5), ("b", 2)]
-
-
-def test_long_lists_come_in_parts_and_lose_nothing(spark):
-    data = [("hot", i % 70) for i in range(700)] + [("cold", i) for i in range(5)] + [("edge", i) for i in range(100)]
-    df = spark.createDataFrame(data, "k string, v int").repartition(8)
-    lists = study.aligned_lists(df, "k", {"v": "vs"}, part_size=100).collect()
-    parts = {k: sorted(r.list_part for r in lists if r.k == k) for k in ("hot", "cold", "edge")}
-    assert parts["cold"] == [0] and parts["edge"] == [0] and len(parts["hot"]) > 3
-    assert max(len(r.vs) for r in lists) < 300
-    assert sorted((r.k, v) for r in lists for v in r.vs) == sorted(data)
+@pytest.mark.parametrize("size", [1, 4, paging.PAGE_SIZE])
+@pytest.mark.parametrize("partitions", [1, 4, 8])
+def test_pages_in_order_give_the_exact_list(spark, size, partitions):
+    data = [("hot", f"v{i % 70}", str(i)) for i in range(200)] + [("equal", "same", None)] * 1000 + [("one", None, None)]
+    df = spark.createDataFrame(data, "k string, a string, b string").repartition(partitions)
+    got = sorted(study.aligned_lists(df, "k", {"a": "as", "b": "bs"}, size).collect(), key=lambda r: (r.k, r.list_part))
+    for key in ("hot", "equal", "one"):
+        pages = [r for r in got if r.k == key]
+        assert [r.list_part for r in pages] == list(range(len(pages)))
+        assert all(len(r["as"]) == size for r in pages[:-1]) and 1 <= len(pages[-1]["as"]) <= size
+        pairs = [pair for r in pages for pair in zip(r["as"], r["bs"])]
+        none_first = lambda pair: [(x is not None, x or "") for x in pair]
+        assert pairs == sorted(((a, b) for k, a, b in data if k == key), key=none_first)
+
+
+def test_families_share_pages_and_miss_none(spark):
+    one = spark.createDataFrame([("t", "b"), ("t", "a"), ("u", "c"), (None, "z")], "k string, v string")
+    two = spark.createDataFrame([("t", 3), ("t", 1), ("t", 2), ("w", None)], "id string, n bigint")
+    lists = paging.paged_lists([paging.Family(one, "k", {"v": "vs"}), paging.Family(two, "id", {"n": "ns"})], "key", 2)
+    assert rows(lists) == [
+        ("t", 0, ["a", "b"], [1, 2]), ("t", 1, None, [3]), ("u", 0, ["c"], None), ("w", 0, None, [None]),
+    ]
 
 
-def test_copies_meet_in_one_part_of_a_set(spark):
-    long = spark.createDataFrame(
-        [("t", "f", f"text {i % 40}") for i in range(400)], "nct_id string, field string, text string"
-    ).repartition(8)
-    sets = text_flags.text_sets(long, "nct_id", part_size=50).collect()
-    texts = [t.text for r in sets for t in r.texts]
-    assert len(sets) > 1 and sorted(texts) == sorted(f"text {i}" for i in range(40))
+@pytest.mark.parametrize("size", [1, 20, text_flags.PAGE_BYTES])
+@pytest.mark.parametrize("partitions", [1, 4, 8])
+def test_text_pages_hold_each_text_once(spark, size, partitions):
+    data = [("t", "f", f"text {i % 40}") for i in range(400)] + [("u", "f", "a very long text")] * 6 + [("v", "f", None)]
+    long = spark.createDataFrame(data, "nct_id string, field string, text string").repartition(partitions)
+    sets = text_flags.text_sets(long, "nct_id", page_bytes=size).collect()
+    assert sorted((r.nct_id, t.text) for r in sets for t in r.texts if t.text) == sorted({(k, t) for k, _, t in data if t})
+    assert {r.nct_id for r in sets if r.list_part == 0} == {"t", "u", "v"}
+    again = text_flags.text_sets(long.repartition(3), "nct_id", page_bytes=size)
+    plain = lambda found: sorted((r.nct_id, r.list_part, sorted(map(repr, r.texts))) for r in found)
+    assert plain(sets) == plain(again.collect())
 
 
 # ---- baselines -----------------------------------------------------------------------------------
@@ -237,10 +251,31 @@ def test_flags(spark):
     assert got["t3"].DHT == 0 and got["t3"].DHT_searched_text == "c |  |  |  |  |  |  |  | long"
     assert (got["t1"]["_app"], got["t1"]["_app_store"], got["t1"]["_fit_band"], got["t2"]["_Sensors"]) == (1, 1, 0, 1)
     assert dict(text_flags.keyword_counts(flags).collect()) == {"app": 1, "app store": 1, "sensors": 1}
+    assert text_flags.trial_matches(flags).count() == 2
     assert text_flags.keyword_matches(flags).count() == 2
     assert rows(text_flags.intervention_flags(flags)) == [("t1", 1, 1), ("t2", 1, 0), ("t3", 0, 0)]
 
 
+@pytest.mark.parametrize("size", [1, 4, text_flags.PAGE_BYTES])
+def test_trials_are_flagged_alike_whatever_the_pages(spark, size):
+    tables = text_tables(spark)
+    more = [("t1", "DEVICE", f"App {i}", f"d{i % 3}") for i in range(30)] + [("ghost", "DEVICE", f"app {i}", "x") for i in range(30)]
+    tables["interventions"] = tables["interventions"].union(spark.createDataFrame(more, tables["interventions"].schema))
+    keywords = ["app", "app store ", "Sensors", "fit band"]
+    text = text_flags.trial_text(**tables, page_bytes=size)
+    assert {r.nct_id for r in text.collect()} == {"t1", "t2", "t3"}
+    assert rows(text.filter("official_title is not null").groupBy("nct_id").count()) == [("t1", 1), ("t3", 1)]
+    flags = text_flags.keyword_flags(text, keywords)
+    expected = [("t1", 1, 1), ("t2", 1, 0), ("t3", 0, 0)]
+    assert rows(text_flags.intervention_flags(flags)) == expected
+    assert dict(text_flags.keyword_counts(flags).collect()) == {"app": 2, "app store": 1, "sensors": 1}
+    matches = {r.nct_id: r for r in text_flags.trial_matches(flags).collect()}
+    assert set(matches) == {"t1", "t2"} and matches["t1"]._name == ["app", "app store"]
+    studies = tables.pop("studies")
+    searched = text_flags.all_texts(studies, **tables)
+    assert rows(text_flags.trial_flags(studies, searched, keywords)) == expected
+
+
 def test_flagged_device_without_keyword_in_its_name(spark):
     df = spark.createDataFrame(
         [("a", "DEVICE", "Band", "an app"), ("b", "DEVICE", "Band", "none"), ("c", "DRUG", "app", ""), ("d", None, None, None)],
@@ -434,5 +469,20 @@ def test_zero_enrollment_and_no_figures(spark):
     assert r[">100_perc_r"] is False and r["c_100_perc_r"] is True
 
 
+def test_labels_without_a_column_are_reported(spark):
+    unique = spark.createDataFrame(
+        [("gender", "Women", "Female"), ("gender", None, "unknown_g"), ("race", "W", "White")],
+        "cat_title string, cat_exp string, piv_cat string",
+    )
+    labelled = represent.with_pivot_columns(represent.with_labels(categorised(spark), unique))
+    assert rows(represent.unplaced_labels(labelled)) == [("gender", "Female", 2)]
+
+
+def test_titles_by_rule_without_a_dictionary(spark):
+    df = spark.createDataFrame([("Age, Categorical",), ("Weight",), (None,)], "title string")
+    got = baseline.with_title_category(df)
+    assert rows(got) == [("Age, Categorical", "age"), ("Weight", "unknown"), (None, "unknown")]
+
+
 def test_labels_of_every_category_have_a_column():
     assert {label for names in CATEGORY_LABELS.values() for label in names} <= set(PIVOT_COLUMNS)

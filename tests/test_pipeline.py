@@ -1,3 +1,4 @@
+import dataclasses
 import json
 import os
 
@@ -9,7 +10,6 @@ from trialcohort import __main__ as command_line
 from trialcohort.functions.fixed_values import CENSUS_NAMES, STUDY_COLUMNS
 from trialcohort.operators import study
 from trialcohort.plans import pipeline
-from trialcohort.plans.staging import shared_folder
 from trialcohort.sources import readers, writers
 from trialcohort.sources.schemas import SCHEMAS
 
@@ -86,7 +86,7 @@ def test_direct_code_only_and_enrollment_places(wide):
 
 
 def test_long_lists_get_more_rows_without_numbers(spark):
-    got = pipeline.build_all(inputs(spark), part_size=1).collect()
+    got = pipeline.build_all(inputs(spark), page_size=1).collect()
     trial = [r.asDict() for r in got if r["NCT_id"] == "T1"]
     assert len([r for r in trial if r["list_part"] == 0]) == 1
     names = [n for r in trial for n in r["int_Name"] or []]
@@ -101,6 +101,7 @@ def test_run_writes_every_stage(spark, tmp_path, wide):
     assert {r["NCT_id"]: r.asDict() for r in result.collect()} == wide
     assert set(os.listdir(out)) >= {
         "studies", "flags", "baselines", "icd", "null_patterns", "flag_counts", "flag_matches", "trials", "trials_csv",
+        "label_conflicts", "unplaced_labels",
     }
     csv = spark.read.csv(f"{out}/trials_csv", header=True, multiLine=True, escape='"')
     assert csv.count() == 6 and csv.columns == result.columns
@@ -120,15 +121,28 @@ def test_label_requests_and_sample(spark, tmp_path):
     assert sampled.filter("DHT is not null").count() == 2
 
 
-def test_shared_folder_is_the_sessions(spark):
-    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+@pytest.mark.parametrize("size", [1, 4])
+def test_facts_do_not_depend_on_the_page_size(spark, wide, size):
+    first = {r["NCT_id"]: r.asDict() for r in pipeline.build_all(inputs(spark), page_size=size).collect() if r["list_part"] == 0}
+    lists = {"study_Country", "Intervention", "int_Name", "sp_Class", "sp_Role", "enroll_Country"}
+    plain = lambda row: {k: v for k, v in row.items() if k not in lists}
+    assert {k: plain(v) for k, v in first.items()} == {k: plain(v) for k, v in wide.items()}
+
+
+def test_a_label_without_a_column_can_end_the_job(spark, tmp_path):
+    given = inputs(spark)
+    labels = spark.createDataFrame([("gender", "Women", "Women")], SCHEMAS["labels"])
+    with pytest.raises(ValueError, match="unplaced"):
+        pipeline.run(dataclasses.replace(given, labels=labels), str(tmp_path / "out"), all_labels_needed=True)
+    assert rows(spark.read.parquet(str(tmp_path / "out" / "unplaced_labels"))) == [("gender", "Women", 3)]
 
 
 def test_star_counts_rows(spark):
-    star = pipeline.star_of(inputs(spark))
+    given = inputs(spark)
+    star = pipeline.star_of(given)
     assert star.columns == STUDY_COLUMNS
     assert star.count() == 7
-    sums = {r.nct_id: r.sum_Enrollment for r in study.enrollment_sums(star).collect()}
+    sums = {r.nct_id: r.sum_Enrollment for r in study.enrollment_sums(study.with_country_facts(pipeline.base_of(given), given.countries)).collect()}
     assert sums["T2"] == 0 and sums["T1"] == 200 and sums["T6"] == 50
 
 
@@ -150,6 +164,19 @@ def test_csv_source_by_name_and_type(spark, tmp_path):
     assert rows(readers.read_csv(spark, path, "baseline_counts")) == [("T1", "B1", 12), ("T2", "B1", None)]
 
 
+def test_csv_files_of_a_folder_share_one_header(spark, tmp_path):
+    for name, text in (("a", "nct_id,name\nT1,Peru\n"), ("b", "name,nct_id\nItaly,T2\n")):
+        (tmp_path / "in.csv").mkdir(exist_ok=True)
+        (tmp_path / "in.csv" / f"{name}.csv").write_text(text)
+    with pytest.raises(Exception, match="header"):
+        readers.read_csv(spark, str(tmp_path / "in.csv"), "countries").collect()
+
+
+def test_values_that_do_not_fit_are_counted(spark, tmp_path):
+    (tmp_path / "baseline_counts.csv").write_text("nct_id,ctgov_group_code,count\nT1,B1,12\nT2,B1,many\nT3,B1,\n")
+    assert rows(pipeline.input_report(spark, str(tmp_path), "csv")) == [("baseline_counts", "count", 1)]
+
+
 def test_tsv_parquet_lines_keywords_titles(spark, tmp_path):
     with open(tmp_path / "map.tsv", "w") as f:
         f.write("MESH_ID\tname\tICD10CM_ID\nD1\tx\tJ45.1\n")
@@ -168,6 +195,8 @@ def test_tsv_parquet_lines_keywords_titles(spark, tmp_path):
 
 
 def test_database_ranges_cover_every_id():
+    assert readers.id_ranges("k", ["o'x"])[1] == "k >= 'o''x'"
+    assert "NTILE(4)" in readers.bounds_query("studies", "nct_id", 4)
     assert readers.id_ranges("nct_id", []) == ["1 = 1"]
     assert readers.id_ranges("nct_id", ["NCT01", "NCT03"]) == [
         "nct_id < 'NCT01' OR nct_id IS NULL",

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from trialcohort.operators import baseline, icd, represent, skew, study
+from trialcohort.operators import baseline, icd, joins, represent, study
 from trialcohort.plans import driver_queries, standins
 
 FOLDER = "/root/testdata/sf0.001"
@@ -58,10 +58,39 @@ def test_small_dimensions_are_broadcast(spark):
     assert "BroadcastHashJoin" in plan(baseline.with_title_category(rows_, supplier))
 
 
-def test_text_is_shuffled_once(spark):
-    text = plan(driver_queries.trial_text(standins.Tables(spark, FOLDER)))
-    assert text.count("Exchange hashpartitioning(nct_id") == 2  # the texts, and the counts of their ids
-    assert "SortMergeJoin" not in text
+def exchanged(df):
+    """The output columns of every shuffle of the plan."""
+    found = []
+
+    def walk(node):
+        if "Exchange" in node.getClass().getSimpleName():
+            found.append([node.output().apply(i).name() for i in range(node.output().size())])
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    top = df._jdf.queryExecution().executedPlan()
+    walk(top.inputPlan() if top.getClass().getSimpleName() == "AdaptiveSparkPlanExec" else top)
+    return found
+
+
+def test_no_text_is_shuffled_for_flags(spark):
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        flags = driver_queries.intervention_flags(standins.Tables(spark, FOLDER))
+        shuffles = exchanged(flags)
+        text = plan(flags)
+    long_texts = {"text", "html", "official_title", "description"}
+    assert shuffles and not any(long_texts & set(columns) for columns in shuffles if "known" in columns)
+    for name in ("documents", "pages", "conversations", "benchmark"):
+        assert text.count(f"{name}.parquet") == 1
+
+
+def test_wide_table_has_few_shuffles(spark):
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        star = plan(driver_queries.study_star(standins.Tables(spark, FOLDER)))
+    wide = plan(driver_queries.wide_table(standins.Tables(spark, FOLDER)))
+    assert star.count("FileScan") - star.count("ReusedExchange") <= 16
+    assert wide.count("Exchange hashpartitioning") <= 60
 
 
 def hot(spark, n=60_000):
@@ -82,6 +111,13 @@ SKEW = {
 }
 
 
+SMALL = {
+    "spark__sql__adaptive__advisoryPartitionSizeInBytes": "64KB",
+    "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "128KB",
+    "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "2",
+}
+
+
 def check_spread(joined, expected):
     """All rows are there and no task of the join had more than a small share of them."""
     per_task = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
@@ -90,14 +126,14 @@ def check_spread(joined, expected):
 
 
 def test_hot_title_is_spread(spark):
-    with settings(spark, **SKEW):
+    with settings(spark, **SKEW, **SMALL):
         df = hot(spark).withColumnRenamed("key", "title")
         dictionary = df.select(F.lower("title").alias("title_lc")).distinct().withColumn("category", F.lit("age"))
         check_spread(baseline.with_title_category(df, dictionary), 60_000)
 
 
 def test_hot_missing_expression_is_spread(spark):
-    with settings(spark, **SKEW):
+    with settings(spark, **SKEW, **SMALL):
         df = hot(spark).withColumnRenamed("key", "cat_exp").withColumn("cat_title", F.lit("age"))
         df = df.withColumn("cat_exp", F.nullif("cat_exp", F.lit("hot")))
         names = df.groupBy("cat_title", "cat_exp").agg(F.lit("x").alias("piv_cat"))
@@ -107,19 +143,14 @@ def test_hot_missing_expression_is_spread(spark):
 
 
 def test_hot_trial_of_a_left_join_is_spread(spark):
-    with settings(spark, **SKEW):
+    with settings(spark, **SKEW, **SMALL):
         countries = hot(spark)
         trials = countries.select("key").distinct().union(spark.createDataFrame([("lone",)], "key string"))
-        check_spread(skew.left_join_many(trials, countries, ["key"], rows_per_salt=1000), 60_001)
+        check_spread(joins.left_join_many(trials, countries, ["key"]), 60_001)
 
 
 def test_hot_group_is_split_at_run_time(spark):
-    small = {
-        "spark__sql__adaptive__advisoryPartitionSizeInBytes": "64KB",
-        "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "128KB",
-        "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "2",
-    }
-    with settings(spark, **SKEW, **small):
+    with settings(spark, **SKEW, **SMALL):
         df = hot(spark).withColumn("count", F.col("id") % 1)
         largest = baseline.group_max_rows(df, "key", "count")
         assert len(largest.collect()) == 60_000
@@ -128,7 +159,8 @@ def test_hot_group_is_split_at_run_time(spark):
 
 def test_hot_list_is_taken_apart(spark):
     df = hot(spark)
-    lists = study.aligned_lists(df, "key", {"id": "ids"}, part_size=1000)
+    lists = study.aligned_lists(df, "key", {"id": "ids"}, 1000)
     sizes = rows(lists.groupBy("key").agg(F.sum(F.size("ids")).alias("n"), F.max(F.size("ids")).alias("largest")))
     assert sum(n for _, n, _ in sizes) == 60_000
-    assert max(largest for _, _, largest in sizes) < 1500
+    assert max(largest for _, _, largest in sizes) == 1000
+

@@ -7,6 +7,7 @@ import os
 
 from trialcohort.plans import pipeline
 from trialcohort.session import session
+from trialcohort.sources.writers import write_csv
 
 
 def main() -> None:
@@ -17,6 +18,7 @@ def main() -> None:
     extract.add_argument("url", help="JDBC address; user and password come from REGISTRY_USER and REGISTRY_PASSWORD")
     extract.add_argument("out")
     extract.add_argument("--bounds", nargs="*", default=[], help="trial ids at which to cut the reading into tasks")
+    extract.add_argument("--tasks", type=int, default=32, help="without bounds, ranges that the database is asked for")
     extract.add_argument("--driver", default="org.postgresql.Driver")
 
     for name, text in (("requests", "write label requests"), ("run", "build the table of trials")):
@@ -31,6 +33,7 @@ def main() -> None:
             job.add_argument("--responses", help="folder of response lines, in place of the labels table")
             job.add_argument("--sample", type=int, help="flag a sample of this many trials only")
             job.add_argument("--seed", type=int, default=0)
+            job.add_argument("--all-labels", action="store_true", help="fail if a label has no column")
 
     args = parser.parse_args()
     spark = session()
@@ -40,13 +43,14 @@ def main() -> None:
             "password": os.environ["REGISTRY_PASSWORD"],
             "driver": args.driver,
         }
-        pipeline.extract(spark, args.url, args.bounds, access, args.out)
+        pipeline.extract(spark, args.url, args.bounds, access, args.out, args.tasks)
     elif args.job == "requests":
         inputs = pipeline.read_inputs(spark, args.inputs, args.format)
         pipeline.write_label_requests(inputs, args.out, args.chunks, args.label_missing)
     else:
         inputs = pipeline.read_inputs(spark, args.inputs, args.format, args.responses)
-        pipeline.run(inputs, args.out, args.sample, args.seed)
+        write_csv(pipeline.input_report(spark, args.inputs, args.format), f"{args.out}/bad_values")
+        pipeline.run(inputs, args.out, args.sample, args.seed, args.all_labels)
 
 
 if __name__ == "__main__":

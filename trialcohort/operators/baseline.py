@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from trialcohort.functions.fixed_values import TITLE_WORDS
 from trialcohort.functions.text import has_token
-from trialcohort.operators.skew import left_join_many, lookup_join
+from trialcohort.operators.joins import left_join_many, lookup_join
 
 UNKNOWN = "unknown"
 
@@ -74,11 +74,13 @@ def title_candidates(df: DataFrame, title: str = "title", words: Iterable[str] =
     return df.filter(has_token(F.col(title), words))
 
 
-def with_title_category(df: DataFrame, dictionary: DataFrame, title: str = "title") -> DataFrame:
+def with_title_category(df: DataFrame, dictionary: DataFrame | None = None, title: str = "title") -> DataFrame:
     """Adds cat_title: the category of the title, letter case aside but not blanks; 'unknown' without one.
 
-    One title may be that of a third of all rows.
+    Without a dictionary of curated titles the rule by words decides for every title.
     """
+    if dictionary is None:
+        return df.withColumn("cat_title", F.coalesce(title_category(F.col(title)), F.lit(UNKNOWN)))
     keyed = df.withColumn("title_lc", F.lower(F.col(title)))
     named = dictionary.select("title_lc", F.col("category").alias("cat_title"))
     return (
@@ -114,8 +116,8 @@ def with_expression(df: DataFrame) -> DataFrame:
     )
 
 
-def categorise(baselines: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Rows whose title is in the dictionary, with cat_title, nan_status and cat_exp."""
+def categorise(baselines: DataFrame, dictionary: DataFrame | None = None) -> DataFrame:
+    """Rows whose title has a category, by the dictionary or else by the rule, with cat_title, nan_status and cat_exp."""
     known = with_title_category(baselines, dictionary).filter(F.col("cat_title") != UNKNOWN)
     return with_expression(known)
 

@@ -15,10 +15,9 @@ from trialcohort.functions.codes import code_prefix, strip_decimals
 from trialcohort.functions.dates import date_text, parse_date, year_text
 from trialcohort.functions.numbers import to_number
 from trialcohort.functions.text import join_list, tokens, unwrap_single
-from trialcohort.operators import baseline, icd, labels, represent, sampling, study, text_flags
+from trialcohort.operators import baseline, icd, joins, labels, represent, sampling, study, text_flags
 from trialcohort.plans import pipeline, standins
-from trialcohort.plans.staging import staged
-from trialcohort.plans.standins import KEYWORDS, Tables
+from trialcohort.plans.standins import Tables
 
 DOCUMENT_KEYWORDS = ["the", "of the", "de", "la", "par la", "tion", "que"]
 
@@ -49,10 +48,15 @@ def study_star(t: Tables) -> DataFrame:
     )
 
 
+def study_base(t: Tables) -> DataFrame:
+    return study.study_base(standins.studies(t), standins.eligibilities(t), standins.calculated_values(t))
+
+
 def measures(t: Tables) -> DataFrame:
-    # Only heavy lines have a measurement here, so that some groups stay without one.
-    heavy = standins.baseline_measurements(t).filter("param_value_num >= 10")
-    return baseline.measures(standins.baseline_counts(t), heavy)
+    # A group of each order's own, beside those of its lines, has no measurement.
+    empty = t.orders.selectExpr("cast(o_orderkey as string) as nct_id", "'BG99' as ctgov_group_code", "0L as count")
+    counts = joins.union_all(standins.baseline_counts(t), empty)
+    return baseline.measures(counts, standins.baseline_measurements(t))
 
 
 def distinct_text(t: Tables) -> DataFrame:
@@ -107,19 +111,20 @@ def categorised_baselines(t: Tables) -> DataFrame:
 
 
 def enrollment_sums(t: Tables) -> DataFrame:
-    return study.enrollment_sums(study_star(t)).select("nct_id", "sum_Enrollment", "study_Country_ct")
+    facts = study.with_country_facts(study_base(t), standins.countries(t))
+    return study.enrollment_sums(facts).select("nct_id", "sum_Enrollment", "study_Country_ct")
 
 
 def enrollment_values(t: Tables) -> DataFrame:
-    return study.enrollment_values(study_star(t))
+    return study.enrollment_values(study_base(t))
 
 
 def country_lists(t: Tables) -> DataFrame:
-    return study.country_lists(study_star(t))
+    return study.country_lists(study_base(t), standins.countries(t))
 
 
 def study_details(t: Tables) -> DataFrame:
-    return study.study_details(study_star(t))
+    return study.study_details(study_base(t))
 
 
 def date_parse(t: Tables) -> DataFrame:
@@ -151,7 +156,7 @@ def census_roles(t: Tables) -> DataFrame:
 
 
 def study_frame(t: Tables) -> DataFrame:
-    return study.study_frame(staged(study_star(t), "studies"), standins.census(t))
+    return study.study_frame(study_base(t), standins.countries(t), standins.census(t))
 
 
 def aligned_lists(t: Tables) -> DataFrame:
@@ -174,11 +179,12 @@ def list_sizes(t: Tables) -> DataFrame:
 
 
 def sponsors_distinct(t: Tables) -> DataFrame:
-    return standins.sponsors(t).distinct()
+    return pipeline.distinct_sponsors(standins.sponsors(t))
 
 
 def sponsors_all(t: Tables) -> DataFrame:
-    return standins.sponsors(t)
+    """Lead sponsors and collaborators, copies kept."""
+    return joins.union_all(standins.lead_sponsors(t), standins.collaborators(t))
 
 
 def keyword_flags(t: Tables) -> DataFrame:
@@ -188,7 +194,7 @@ def keyword_flags(t: Tables) -> DataFrame:
 
 def keyword_counts(t: Tables) -> DataFrame:
     flags = text_flags.keyword_flags(t.documents, DOCUMENT_KEYWORDS, ["text", "source"])
-    return text_flags.keyword_counts(flags, ["text", "source"])
+    return text_flags.keyword_counts(flags, "doc_id", ["text", "source"])
 
 
 def keyword_matches(t: Tables) -> DataFrame:
@@ -196,6 +202,13 @@ def keyword_matches(t: Tables) -> DataFrame:
     return text_flags.keyword_matches(flags, ["text", "role"])
 
 
+def trial_matches(t: Tables) -> DataFrame:
+    """Flagged conversations, whose turns are taken for the pages of a trial."""
+    pages = t.conversations.withColumnRenamed("turn", "list_part")
+    flags = text_flags.keyword_flags(pages, ["par la", "of the", "assistant"], ["text", "role"])
+    return text_flags.trial_matches(flags, "conv_id", ["text", "role"]).drop("DHT_searched_text")
+
+
 def trial_text(t: Tables) -> DataFrame:
     return text_flags.trial_text(
         standins.studies(t),
@@ -208,7 +221,8 @@ def trial_text(t: Tables) -> DataFrame:
 
 
 def intervention_flags(t: Tables) -> DataFrame:
-    return text_flags.intervention_flags(text_flags.keyword_flags(trial_text(t), KEYWORDS))
+    inputs = standins.inputs(t.spark, t.folder)
+    return pipeline.trial_flags_of(inputs)
 
 
 def device_flags(t: Tables) -> DataFrame:
@@ -296,13 +310,16 @@ def pivot_sums(t: Tables) -> DataFrame:
     return represent.pivot_sums(t.lineitem, "l_orderkey", "l_returnflag", "l_quantity", flags)
 
 
+def unplaced_labels(t: Tables) -> DataFrame:
+    return represent.unplaced_labels(_pivot_rows(t))
+
+
 def enrollment_lists(t: Tables) -> DataFrame:
     return represent.enrollment_lists(_pivot_rows(t))
 
 
 def demographic_pivot(t: Tables) -> DataFrame:
-    categorised = staged(categorised_baselines(t), "baselines")
-    return represent.demographic_pivot(categorised, labels.unique_labels(standins.labels(t)))
+    return represent.demographic_pivot(categorised_baselines(t), labels.unique_labels(standins.labels(t)))
 
 
 def shares(t: Tables) -> DataFrame:
@@ -417,6 +434,7 @@ QUERIES = [
     null_pattern_report, expression_pick, baseline_rows, categorised_baselines, enrollment_sums,
     enrollment_values, country_lists, study_details, date_parse, census_roles, study_frame, aligned_lists,
     sponsor_lists, list_sizes, sponsors_distinct, sponsors_all, keyword_flags, keyword_counts, keyword_matches,
+    trial_matches, unplaced_labels,
     trial_text, intervention_flags, device_flags, sample_rows, label_expressions, label_requests, label_parse,
     label_table, label_conflicts, null_safe_join, pivot_values, category_sums, pivot_sums, enrollment_lists,
     demographic_pivot, shares, to_numbers, code_prefixes, icd_chapter, icd_chapter_by_range, code_map, term_codes,

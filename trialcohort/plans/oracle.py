@@ -117,7 +117,7 @@ SELECT CAST(l_orderkey AS VARCHAR), nullif(r_name, 'ASIA'), 'collaborator'
 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
      JOIN region ON n_regionkey = r_regionkey"""
 
-CONCEPT = "((p_partkey // 4) % 30000)"
+CONCEPT = "(p_partkey // 4)"
 TERM = f"p_name || ' ' || {CONCEPT}"
 CODE = (
     f"chr(CAST(65 + {CONCEPT} % 26 AS INTEGER)) || lpad(CAST(({CONCEPT} * 7 + p_size % 3) % 100 AS VARCHAR), 2, '0')"
@@ -275,18 +275,13 @@ CTES["allowed"] = " UNION ALL ".join(
     for c, names in CATEGORY_LABELS.items()
 )
 
-# An expression in `all_categorised` may have two labels; the first in the alphabet counts. All of
-# them occur there, so other row sets find the labels they need in it.
+# Of the two labels of 'A' the first in the alphabet counts, which is never the second one.
 CTES["label_of"] = """
-SELECT cat_title, cat_exp, min(piv_cat) AS piv_cat FROM (
-    SELECT e.cat_title, cat_exp,
-           names[CASE WHEN cat_exp IS NULL THEN len(names) WHEN cat_exp = 'A' THEN 1 WHEN cat_exp = 'R' THEN 2
-                      ELSE CAST(substr(cat_exp, 2) AS INTEGER) % len(names) + 1 END] AS piv_cat
-    FROM (SELECT DISTINCT cat_title, cat_exp FROM all_categorised) e JOIN allowed a ON e.cat_title = a.cat_title
-    WHERE cat_exp IS NULL OR cat_exp <> 'C9'
-    UNION ALL
-    SELECT DISTINCT cat_title, cat_exp, '~ second label' FROM all_categorised WHERE cat_exp = 'A')
-GROUP BY 1, 2"""
+SELECT cat_title, cat_exp,
+       CASE WHEN cat_exp IS NULL THEN names[len(names)] WHEN cat_exp = 'A' THEN names[1] WHEN cat_exp = 'R' THEN names[2]
+            WHEN cat_exp = 'C8' THEN 'Someone else' ELSE names[CAST(substr(cat_exp, 2) AS INTEGER) % len(names) + 1]
+            END AS piv_cat
+FROM allowed, (SELECT unnest([NULL, 'A', 'R', 'C0', 'C1', 'C2', 'C3', 'C4', 'C5', 'C6', 'C7', 'C8', 'C10']) AS cat_exp)"""
 
 
 def pivot_rows(source: str) -> str:
@@ -528,7 +523,8 @@ WHERE l_discount - 0.02 >= 0""",
     "study_star": "SELECT * FROM star",
     "measures": """
 SELECT c.nct_id, c.ctgov_group_code, c.count, classification, category, title, units, param_type, param_value_num
-FROM in_counts c LEFT JOIN (SELECT * FROM in_measurements WHERE param_value_num >= 10) m
+FROM (SELECT * FROM in_counts UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 'BG99', 0 FROM orders) c
+     LEFT JOIN in_measurements m
      ON c.nct_id = m.nct_id AND c.ctgov_group_code = m.ctgov_group_code""",
     "distinct_text": """
 SELECT nct_id, 0::BIGINT AS list_part,
@@ -590,6 +586,13 @@ FROM (SELECT unnest(list_concat(in_text, in_source)) AS "Element" FROM document_
 SELECT {as_text("in_text")} AS _text, {as_text("in_role")} AS _role,
        coalesce(text, '') || ' | ' || coalesce(role, '') AS "DHT_searched_text"
 FROM conversation_hits WHERE len(in_text) + len(in_role) > 0""",
+    "trial_matches": f"""
+SELECT conv_id, {as_text("list_sort(list_distinct(flatten(list(in_text))))")} AS _text,
+       {as_text("list_sort(list_distinct(flatten(list(in_role))))")} AS _role
+FROM conversation_hits WHERE len(in_text) + len(in_role) > 0 GROUP BY conv_id""",
+    "unplaced_labels": f"""
+SELECT cat_title, piv_cat, count(*) AS count FROM all_pivot_rows
+WHERE piv_cat NOT IN {in_list(PIVOT_COLUMNS)} GROUP BY 1, 2""",
     "trial_text": "SELECT * FROM trial_texts",
     "intervention_flags": "SELECT * FROM digital",
     "device_flags": """

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass, fields
+from collections.abc import Sequence
+from dataclasses import dataclass, fields, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from trialcohort.functions.fixed_values import CENSUS_NAMES, PIVOT_COLUMNS, REQUEST_CHUNKS, SHARES
 from trialcohort.operators.baseline import (
@@ -15,38 +16,66 @@ from trialcohort.operators.baseline import (
     title_dictionary,
 )
 from trialcohort.operators.icd import chapter_frame, icd_map
-from trialcohort.operators.labels import label_requests, label_table, unique_labels
+from trialcohort.operators.joins import union_all
+from trialcohort.operators.labels import (
+    label_conflicts,
+    label_requests,
+    label_table,
+    parse_responses,
+    unique_labels,
+)
+from trialcohort.operators.paging import PAGE_SIZE, Family, paged_lists
 from trialcohort.operators.represent import (
     demographic_sums,
-    enrollment_lists,
+    enrollment_family,
     enrollment_rows,
     representation,
+    unplaced_labels,
+    with_labels,
+    with_pivot_columns,
 )
-from trialcohort.operators.sampling import keep_sample
-from trialcohort.operators.skew import PART_SIZE, TEXT_PART_SIZE
+from trialcohort.operators.sampling import sample_ids
 from trialcohort.operators.study import (
-    aligned_lists,
-    country_lists,
+    country_family,
+    joined_countries,
+    study_base,
     study_facts,
     study_star,
     with_lists,
 )
 from trialcohort.operators.text_flags import (
-    intervention_flags,
+    PAGE_BYTES,
+    all_texts,
     keyword_counts,
     keyword_flags,
-    keyword_matches,
+    trial_flags,
+    trial_matches,
     trial_text,
 )
-from trialcohort.plans.staging import staged, written
-from trialcohort.sources.readers import keyword_list, read_csv, read_database, read_lines, read_parquet
-from trialcohort.sources.schemas import REGISTRY_TABLES
+from trialcohort.plans.staging import written
+from trialcohort.sources.readers import (
+    bad_values,
+    keyword_list,
+    raw_csv,
+    read_csv,
+    read_database,
+    read_lines,
+    read_parquet,
+    read_tsv,
+)
+from trialcohort.sources.schemas import REGISTRY_TABLES, SCHEMAS
 from trialcohort.sources.writers import write_csv, write_parquet, write_requests
 
+CODE_MAPS = ("code_map_1", "code_map_2")
+
 
 @dataclass(frozen=True)
 class Inputs:
-    """Every table the job reads; `titles` is a (title_lc, category) dictionary."""
+    """Every table the job reads.
+
+    `titles` is a (title_lc, category) dictionary of curated titles; without one the rule by words decides.
+    `responses` are the parsed response lines that the labels came from, for reports on them.
+    """
 
     studies: DataFrame
     eligibilities: DataFrame
@@ -62,38 +91,62 @@ class Inputs:
     design_outcomes: DataFrame
     detailed_descriptions: DataFrame
     census: DataFrame
-    titles: DataFrame
     labels: DataFrame
     code_map_1: DataFrame
     code_map_2: DataFrame
     mesh_icd: DataFrame
     trial_icd: DataFrame
     keywords: Sequence[str]
+    titles: DataFrame | None = None
+    responses: DataFrame | None = None
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
 def read_inputs(spark: SparkSession, folder: str, file_format: str = "parquet", responses: str | None = None) -> Inputs:
     """All input tables of a folder, each in `<table>.parquet` or `<table>.csv` (a file or a folder).
 
-    The labels come from response lines when their folder is given.
+    Code maps may be `<table>.tsv` in either format. The titles may be missing. The labels come from response
+    lines when their folder is given.
     """
 
     def table(name: str) -> DataFrame:
+        if name in CODE_MAPS and exists(spark, f"{folder}/{name}.tsv"):
+            return read_tsv(spark, f"{folder}/{name}.tsv", name)
         path = f"{folder}/{name}.{file_format}"
         return read_csv(spark, path, name) if file_format == "csv" else read_parquet(spark, path, name)
 
-    names = [f.name for f in fields(Inputs) if f.name not in ("titles", "labels", "keywords")]
+    extra = ("titles", "labels", "keywords", "responses")
+    names = [f.name for f in fields(Inputs) if f.name not in extra]
+    titled = exists(spark, f"{folder}/titles.{file_format}")
+    lines = None if responses is None else read_lines(spark, responses)
     return Inputs(
         **{name: table(name) for name in names},
-        titles=title_dictionary(table("titles")),
-        labels=table("labels") if responses is None else label_table(read_lines(spark, responses)),
+        titles=title_dictionary(table("titles")) if titled else None,
+        labels=table("labels") if lines is None else label_table(lines),
+        responses=None if lines is None else parse_responses(lines),
         keywords=keyword_list(table("keywords")),
     )
 
 
-def extract(spark: SparkSession, url: str, bounds: list[str], properties: dict[str, str], out: str) -> None:
+def input_report(spark: SparkSession, folder: str, file_format: str = "parquet") -> DataFrame:
+    """(table, column, count) of input texts that do not fit their declared type."""
+    found = []
+    for name in SCHEMAS:
+        path = f"{folder}/{name}.{file_format}"
+        if exists(spark, path):
+            raw = raw_csv(spark, path) if file_format == "csv" else spark.read.parquet(path)
+            found.append(bad_values(raw, name))
+    return union_all(*found)
+
+
+def extract(spark: SparkSession, url: str, bounds: list[str], properties: dict[str, str], out: str, tasks: int = 32) -> None:
     """Copies the registry's base tables from its database to parquet below `out`."""
     for name in REGISTRY_TABLES:
-        write_parquet(read_database(spark, url, name, bounds, properties), f"{out}/{name}.parquet")
+        write_parquet(read_database(spark, url, name, bounds, properties, tasks=tasks), f"{out}/{name}.parquet")
 
 
 TRIAL_COLUMNS = [
@@ -115,31 +168,32 @@ COLUMNS = [
 ]
 
 
-def intervention_lists(interventions: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
+def intervention_family(interventions: DataFrame) -> Family:
+    return Family(interventions, "nct_id", {"intervention_type": "Intervention", "name": "int_Name"})
+
+
+def intervention_lists(interventions: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     """(NCT_id, list_part, Intervention, int_Name): types and names of a trial's interventions, aligned."""
-    return aligned_lists(
-        interventions, "nct_id", {"intervention_type": "Intervention", "name": "int_Name"}, part_size
-    ).withColumnRenamed("nct_id", "NCT_id")
+    return paged_lists([intervention_family(interventions)], "NCT_id", page_size)
 
 
-def sponsor_lists(sponsors: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
-    """(NCT_id, list_part, sp_Class, sp_Role): distinct classes and roles of a trial's sponsors, aligned."""
-    distinct = sponsors.select("nct_id", "agency_class", "lead_or_collaborator").distinct()
-    return aligned_lists(
-        distinct, "nct_id", {"agency_class": "sp_Class", "lead_or_collaborator": "sp_Role"}, part_size
-    ).withColumnRenamed("nct_id", "NCT_id")
+def distinct_sponsors(sponsors: DataFrame) -> DataFrame:
+    return sponsors.select("nct_id", "agency_class", "lead_or_collaborator").distinct()
 
 
-def all_lists(*families: DataFrame) -> DataFrame:
-    """The lists of several families side by side, part by part."""
-    together = families[0]
-    for lists in families[1:]:
-        together = together.join(lists, ["NCT_id", "list_part"], "full")
-    return together
+def sponsor_family(sponsors: DataFrame) -> Family:
+    columns = {"agency_class": "sp_Class", "lead_or_collaborator": "sp_Role"}
+    return Family(distinct_sponsors(sponsors), "nct_id", columns)
+
+
+def sponsor_lists(sponsors: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+    """(NCT_id, list_part, sp_Class, sp_Role): distinct classes and roles of a trial's sponsors, aligned."""
+    return paged_lists([sponsor_family(sponsors)], "NCT_id", page_size)
 
 
 def wide_table(
-    star: DataFrame,
+    base: DataFrame,
+    countries: DataFrame,
     census: DataFrame,
     flags: DataFrame,
     interventions: DataFrame,
@@ -147,39 +201,52 @@ def wide_table(
     icd: DataFrame,
     categorised: DataFrame,
     labels: DataFrame,
-    part_size: int = PART_SIZE,
+    page_size: int = PAGE_SIZE,
 ) -> DataFrame:
-    """The 93 columns, and list_part: 0 but for rows that carry on lists longer than `part_size`."""
+    """The 93 columns, and list_part: 0 but for rows that carry on lists longer than `page_size`.
+
+    `flags` is (nct_id, DHT, DINT). The lists of all families are folded in the same shuffles.
+    """
     trials = (
-        study_facts(star, census)
-        .join(intervention_flags(flags).withColumnRenamed("nct_id", "NCT_id"), "NCT_id", "left")
+        study_facts(base, countries, census)
+        .join(flags.withColumnRenamed("nct_id", "NCT_id"), "NCT_id", "left")
         .join(icd, "NCT_id", "left")
     )
-    places = enrollment_lists(enrollment_rows(categorised), "nct_id", part_size)
-    lists = all_lists(
-        country_lists(star, part_size).withColumnRenamed("nct_id", "NCT_id"),
-        intervention_lists(interventions, part_size),
-        sponsor_lists(sponsors, part_size),
-        places.withColumnRenamed("nct_id", "NCT_id"),
-    )
+    families = [
+        country_family(countries),
+        intervention_family(interventions),
+        sponsor_family(sponsors),
+        enrollment_family(enrollment_rows(categorised)),
+    ]
     sums = demographic_sums(categorised, unique_labels(labels))
-    return with_lists(representation(trials, sums), lists).select(*COLUMNS, "list_part")
+    wide = with_lists(representation(trials, sums), paged_lists(families, "NCT_id", page_size))
+    return wide.withColumn("study_Country", joined_countries()).select(*COLUMNS, "list_part")
 
 
 def categorised_baselines(inputs: Inputs) -> DataFrame:
     return categorise(baseline_rows(inputs.baseline_counts, inputs.baseline_measurements), inputs.titles)
 
 
-def text_of(inputs: Inputs, part_size: int = TEXT_PART_SIZE) -> DataFrame:
-    return trial_text(
-        inputs.studies,
-        inputs.interventions,
-        inputs.brief_summaries,
-        inputs.design_groups,
-        inputs.design_outcomes,
-        inputs.detailed_descriptions,
-        part_size,
-    )
+def text_tables(inputs: Inputs) -> dict[str, DataFrame]:
+    return {
+        "interventions": inputs.interventions,
+        "summaries": inputs.brief_summaries,
+        "groups": inputs.design_groups,
+        "outcomes": inputs.design_outcomes,
+        "descriptions": inputs.detailed_descriptions,
+    }
+
+
+def sampled(inputs: Inputs, sample_n: int | None, seed: int = 0) -> Inputs:
+    """Inputs whose studies, as far as their text goes, are a repeatable sample of the trials."""
+    if sample_n is None:
+        return inputs
+    ids = sample_ids(inputs.studies, "nct_id", sample_n, seed)
+    return replace(inputs, studies=inputs.studies.join(ids, "nct_id", "left_semi"))
+
+
+def text_of(inputs: Inputs, page_bytes: int = PAGE_BYTES) -> DataFrame:
+    return trial_text(inputs.studies, **text_tables(inputs), page_bytes=page_bytes)
 
 
 def icd_of(inputs: Inputs) -> DataFrame:
@@ -194,36 +261,47 @@ def icd_of(inputs: Inputs) -> DataFrame:
     )
 
 
+def base_of(inputs: Inputs) -> DataFrame:
+    return study_base(inputs.studies, inputs.eligibilities, inputs.calculated_values)
+
+
 def star_of(inputs: Inputs) -> DataFrame:
     return study_star(inputs.studies, inputs.eligibilities, inputs.countries, inputs.calculated_values)
 
 
 def flags_of(
-    inputs: Inputs, sample_n: int | None = None, seed: int = 0, part_size: int = TEXT_PART_SIZE
+    inputs: Inputs, sample_n: int | None = None, seed: int = 0, page_bytes: int = PAGE_BYTES
 ) -> DataFrame:
-    """Keyword flags of all trials, or of a repeatable sample of them."""
-    text = text_of(inputs, part_size)
-    return keyword_flags(text if sample_n is None else keep_sample(text, "nct_id", sample_n, seed), inputs.keywords)
+    """Keyword flags with the text of all trials, or of a repeatable sample of them, picked before text is folded."""
+    return keyword_flags(text_of(sampled(inputs, sample_n, seed), page_bytes), inputs.keywords)
+
+
+def trial_flags_of(inputs: Inputs, sample_n: int | None = None, seed: int = 0) -> DataFrame:
+    """(nct_id, DHT, DINT) of all trials, or of a sample; texts are searched where they lie."""
+    chosen = sampled(inputs, sample_n, seed)
+    return trial_flags(chosen.studies, all_texts(chosen.studies, **text_tables(inputs)), inputs.keywords)
+
+
+def unplaced_labels_of(categorised: DataFrame, labels: DataFrame) -> DataFrame:
+    """Labels that no column takes in, with the number of their rows."""
+    return unplaced_labels(with_pivot_columns(with_labels(categorised, unique_labels(labels))))
 
 
 def build_all(
-    inputs: Inputs,
-    sample_n: int | None = None,
-    seed: int = 0,
-    part_size: int = PART_SIZE,
-    stage: Callable[[DataFrame, str], DataFrame] = staged,
+    inputs: Inputs, sample_n: int | None = None, seed: int = 0, page_size: int = PAGE_SIZE
 ) -> DataFrame:
-    """The wide table. Tables read by several steps are staged first."""
+    """The wide table as one query; no job runs while it is built."""
     return wide_table(
-        stage(star_of(inputs), "studies"),
+        base_of(inputs),
+        inputs.countries,
         inputs.census,
-        flags_of(inputs, sample_n, seed, min(part_size, TEXT_PART_SIZE)),
+        trial_flags_of(inputs, sample_n, seed),
         inputs.interventions,
         inputs.sponsors,
         icd_of(inputs),
-        stage(categorised_baselines(inputs), "baselines"),
+        categorised_baselines(inputs),
         inputs.labels,
-        part_size,
+        page_size,
     )
 
 
@@ -232,20 +310,39 @@ def write_label_requests(inputs: Inputs, path: str, chunks: int = REQUEST_CHUNKS
     write_requests(label_requests(categorised_baselines(inputs), chunks=chunks, label_missing=label_missing), path)
 
 
-def run(inputs: Inputs, out: str, sample_n: int | None = None, seed: int = 0) -> DataFrame:
+def run(
+    inputs: Inputs, out: str, sample_n: int | None = None, seed: int = 0, all_labels_needed: bool = False
+) -> DataFrame:
     """Second job, with the labels in: writes every stage below `out` and the wide table as parquet and CSV.
 
-    `out` is a folder all executors share.
+    `out` is a folder all executors share. What the labels lost is reported there too: labels that no column
+    takes, expressions with several labels, and the number of response lines that could not be read. With
+    `all_labels_needed` a label without a column ends the job before the wide table is built.
     """
-    star = written(star_of(inputs), f"{out}/studies")
+    write_parquet(star_of(inputs), f"{out}/studies")
     flags = written(flags_of(inputs, sample_n, seed), f"{out}/flags")
     categorised = written(categorised_baselines(inputs), f"{out}/baselines")
     icd = written(icd_of(inputs), f"{out}/icd")
     write_csv(null_pattern_report(categorised), f"{out}/null_patterns")
     write_csv(keyword_counts(flags), f"{out}/flag_counts")
-    write_csv(keyword_matches(flags), f"{out}/flag_matches")
+    write_csv(trial_matches(flags), f"{out}/flag_matches")
+    given = inputs.labels if inputs.responses is None else inputs.responses
+    write_csv(label_conflicts(given), f"{out}/label_conflicts")
+    if inputs.responses is not None:
+        write_csv(inputs.responses.groupBy("is_bad").agg(F.count(F.lit(1)).alias("lines")), f"{out}/response_lines")
+    unplaced = written(unplaced_labels_of(categorised, inputs.labels), f"{out}/unplaced_labels")
+    if all_labels_needed and not unplaced.isEmpty():
+        raise ValueError(f"labels without a column, see {out}/unplaced_labels")
     wide = wide_table(
-        star, inputs.census, flags, inputs.interventions, inputs.sponsors, icd, categorised, inputs.labels
+        base_of(inputs),
+        inputs.countries,
+        inputs.census,
+        trial_flags_of(inputs, sample_n, seed),
+        inputs.interventions,
+        inputs.sponsors,
+        icd,
+        categorised,
+        inputs.labels,
     )
     wide = written(wide, f"{out}/trials")
     write_csv(wide, f"{out}/trials_csv")

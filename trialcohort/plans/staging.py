@@ -2,31 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-SETTING = "spark.checkpoint.dir"
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, as the session names it; a local session gets one of its own."""
-    folder = spark.conf.get(SETTING, None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {SETTING} to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="trialcohort-")
-        spark.conf.set(SETTING, folder)
-    return folder
+from pyspark.sql import DataFrame
 
 
 def written(df: DataFrame, path: str) -> DataFrame:
-    """Writes the rows as parquet and reads them back: computed once, read by column, short lineage."""
+    """Writes the rows as parquet and reads them back: computed once, read by column, short lineage.
+
+    `path` lies in a folder that all executors share.
+    """
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """The same rows as a table in the shared folder."""
-    return written(df, f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}")

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trialcohort.functions.fixed_values import CATEGORY_LABELS
-from trialcohort.operators.baseline import categorise, title_dictionary
+from trialcohort.operators.baseline import title_dictionary, title_frame
+from trialcohort.operators.joins import union_all
 from trialcohort.plans.pipeline import Inputs
 
 KEYWORDS = ["widget", "Red Widget", " ring ", "with", "of the", "de", "par la", "gizmo"]
@@ -81,8 +82,8 @@ def baseline_counts(t: Tables) -> DataFrame:
     )
 
 
-TITLE_OF_ROW = """element_at(array('Age, Categorical', 'Sex: Female, Male', 'RACE (NIH/OMB)', 'Region of Enrollment',
-    'Age, Continuous', 'Weight'), cast(l_suppkey % 6 as int) + 1)"""
+TITLES = ["Age, Categorical", "Sex: Female, Male", "RACE (NIH/OMB)", "Region of Enrollment", "Age, Continuous", "Weight"]
+TITLE_OF_ROW = f"element_at(array({', '.join(repr(x) for x in TITLES)}), cast(l_suppkey % 6 as int) + 1)"
 
 
 def baseline_measurements(t: Tables) -> DataFrame:
@@ -109,11 +110,14 @@ def interventions(t: Tables) -> DataFrame:
     )
 
 
-def sponsors(t: Tables) -> DataFrame:
-    lead = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).selectExpr(
+def lead_sponsors(t: Tables) -> DataFrame:
+    return t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).selectExpr(
         "cast(o_orderkey as string) as nct_id", "c_mktsegment as agency_class", "'lead' as lead_or_collaborator"
     )
-    others = (
+
+
+def collaborators(t: Tables) -> DataFrame:
+    return (
         t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
         .join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
@@ -123,11 +127,14 @@ def sponsors(t: Tables) -> DataFrame:
             "'collaborator' as lead_or_collaborator",
         )
     )
-    return lead.unionByName(others)
 
 
-# A vocabulary of terms with a few codes each, of bounded size like the real one.
-CONCEPT = "((p_partkey div 4) % 30000)"
+def sponsors(t: Tables) -> DataFrame:
+    return union_all(lead_sponsors(t), collaborators(t))
+
+
+# A vocabulary of terms with a few codes each.
+CONCEPT = "(p_partkey div 4)"
 TERM = f"concat(p_name, ' ', {CONCEPT})"
 CODE = (
     f"concat(char(65 + {CONCEPT} % 26), lpad(cast(({CONCEPT} * 7 + p_size % 3) % 100 as string), 2, '0'), '.', "
@@ -209,27 +216,17 @@ def census(t: Tables) -> DataFrame:
 
 
 def titles(t: Tables) -> DataFrame:
-    return title_dictionary(baseline_measurements(t))
+    return title_dictionary(title_frame(t.spark, TITLES))
 
 
 def labels(t: Tables) -> DataFrame:
-    """A label for each expression that occurs, but 'C9'; expressions 'A' get a second one."""
-    wanted = (
-        categorise(baseline_measurements(t), titles(t))
-        .filter("cat_title <> 'enrollment' and coalesce(cat_exp, '') <> 'C9'")
-        .select("cat_title", "cat_exp")
-        .distinct()
-    )
-    allowed = F.lit(None)
+    """A label for each expression but 'C9': 'A' gets a second one, that of 'C8' is no column's."""
+    rows = []
     for category, names in CATEGORY_LABELS.items():
-        allowed = F.when(F.col("cat_title") == category, F.array(*[F.lit(n) for n in names])).otherwise(allowed)
-    place = F.expr(
-        """case when cat_exp is null then size(allowed) - 1 when cat_exp = 'A' then 0 when cat_exp = 'R' then 1
-           else cast(substring(cat_exp, 2) as int) % size(allowed) end"""
-    )
-    first = F.get("allowed", place)
-    both = F.when(F.col("cat_exp") == "A", F.array(first, F.lit("~ second label"))).otherwise(F.array(first))
-    return wanted.withColumn("allowed", allowed).select("cat_title", "cat_exp", F.explode(both).alias("piv_cat"))
+        places = {None: len(names) - 1, "A": 0, "R": 1, **{f"C{i}": i % len(names) for i in range(11)}}
+        rows += [(category, e, names[i]) for e, i in places.items() if e not in ("C8", "C9")]
+        rows += [(category, "A", "~ second label"), (category, "C8", "Someone else")]
+    return t.spark.createDataFrame(rows, "cat_title string, cat_exp string, piv_cat string")
 
 
 def inputs(spark: SparkSession, folder: str) -> Inputs:
