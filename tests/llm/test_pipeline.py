@@ -1,0 +1,63 @@
+import random
+
+import corpus_pipeline
+from tests.llm import brute
+from tests.llm.test_operators import crc, ids_of
+from trialcohort.llm import quality_divergence
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def keep_near(data):
+    _, roots, sets = brute.near(data, 5)
+    first = {}
+    for (doc, _), root, s in zip(data, roots, sets):
+        if s:
+            first[root] = min(first.get(root, doc), doc)
+    return [row for row, root, s in zip(data, roots, sets) if not s or first[root] == row[0]]
+
+
+def test_stages_against_brute_force(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    judged = quality_divergence.quality_rules(docs)
+    data = [(r.doc_id, r.text) for r in judged.filter("kept").collect()]
+    assert 100 < len(data) < docs.count()
+    items = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").select("item_id", "text").collect()]
+
+    gone = {d: n for d, _, n, _ in brute.lines(data)}
+    stage = docs
+    seen = {}
+    for name, function in corpus_pipeline.STAGES[:-1]:
+        stage = function(spark, stage, FOLDER)
+        assert stage.columns == corpus_pipeline.COLUMNS
+        stage = stage.cache()
+        seen[name] = {r.doc_id: r.text for r in stage.collect()}
+    assert seen["quality"] == dict(data)
+    assert seen["lines"].keys() == seen["quality"].keys() and sum(gone.values()) > 0
+    kept = [(d, n, h) for d, n, _, h in brute.lines(list(seen["quality"].items()))]
+    assert sorted((d, h) for d, _, h in kept) == sorted((d, brute.sha(t)) for d, t in seen["lines"].items())
+    assert seen["near"] == dict(keep_near(sorted(seen["lines"].items())))
+    clean = {d for d, *_, hit in brute.contamination(list(seen["near"].items()), items) if not hit}
+    assert set(seen["benchmark"]) == clean < set(seen["near"])
+
+    pieces = corpus_pipeline.run(spark, FOLDER).collect()
+    rows = sorted(seen["benchmark"].items())
+    expected = []
+    for (doc, _), ids in zip(rows, ids_of([t for _, t in rows], "byte_bpe_50k.json", True, 0)):
+        expected += [(doc, a, n, x) for a, n, x in brute.binary_pieces(ids)]
+        assert crc(ids) >= 0
+    assert sorted((r.doc_id, r.start, r.length, r.ids_crc32) for r in pieces) == sorted(expected)
+
+
+def test_stages_take_odd_rows(make, odd, spark):
+    rng = random.Random(1)
+    data = odd + [(None, None), (None, None), (6, "x y z"), (40, " ".join(f"w{rng.randrange(90)}" for _ in range(80)))]
+    for name, function in corpus_pipeline.STAGES:
+        out = function(spark, make(data, extra=True), FOLDER)
+        got = [r.doc_id for r in out.select("doc_id").distinct().collect()] if name == "packing" else [r.doc_id for r in out.collect()]
+        assert function(spark, make(data).limit(0), FOLDER).count() == 0
+        if name == "near":
+            # copies of a row count once in a group, empty texts all stay
+            assert sorted(map(str, got)) == sorted(["1", "2", "3", "4", "5", "6", "None", "None", "None", "7", "9", "10", "11", "40"])
+        if name in ("lines", "packing"):
+            assert set(got) == {d for d, _ in data}

@@ -7,7 +7,7 @@ blank lines alone don't count.
 
 A null text has no lines, an empty one a single empty line; texts of fewer than three lines have no window. A null
 doc_id counts as 0 in the order. Rows equal in doc_id and text can't be told apart: they are one document and come out
-alike. Extra columns pass through; those named n_lines and n_removed are replaced.
+alike. Extra columns pass through, but for those named as what is added here (OWN).
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from trialcohort.llm import textarrays as T
 from trialcohort.llm.common import row_key, stage
 
 LINES = 3
-ANY = np.ones(256, bool)
+OWN = ("n_lines", "n_removed", "_k1", "_k2", "_places")
 
 
 def line_names(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -102,7 +102,7 @@ def repeated_line_windows(docs: DataFrame, lines: int = LINES) -> DataFrame:
 
 def line_dedup(docs: DataFrame, lines: int = LINES, carry: list[str] | None = None) -> DataFrame:
     """Columns `carry` of docs (all by default) with text cut, n_lines (before) and n_removed. A document's places are at most its lines."""
-    carry = [x for x in (docs.columns if carry is None else carry) if x not in ("n_lines", "n_removed")]
+    carry = [x for x in (docs.columns if carry is None else carry) if x not in OWN]
     needed = list(dict.fromkeys([*carry, "text"]))
     places = repeated_line_windows(docs, lines).groupBy("k1", "k2").agg(F.collect_set("at").alias("_places"))
     # places grow with the documents, so they are merged, not broadcast, at any size

@@ -10,7 +10,7 @@ median of the shares in all documents of the language that are long enough to be
 documents nor a minority of junk moves it.
 
 A null language is a language of its own. A null or empty text has no words and fails the base rules. Repeated rows
-count and are judged each for itself; extra columns pass through.
+count and are judged each for itself; extra columns pass through, but for those named as a measure or beginning with _ref_.
 """
 
 from __future__ import annotations
@@ -231,7 +231,7 @@ def quality_rules(
     and shuffles otherwise, with adaptive execution splitting frequent languages.
     """
     measures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_distance", "word_distance", "base_failed", "kept"]
-    carry = [x for x in (docs.columns if carry is None else carry) if x not in measures]
+    carry = [x for x in (docs.columns if carry is None else carry) if x not in measures and not x.startswith("_ref_")]
     refs = stage(references(docs), "references")
     refs = refs.select(*[F.col(x).alias(f"_ref_{x}") for x in refs.columns])
     needed = docs.select(*dict.fromkeys([*carry, "lang", "text"]))
