@@ -274,6 +274,21 @@ def test_trials_are_flagged_alike_whatever_the_pages(spark, size):
     studies = tables.pop("studies")
     searched = text_flags.all_texts(studies, **tables)
     assert rows(text_flags.trial_flags(studies, searched, keywords)) == expected
+    if size == 1:
+        many = keywords + [f"unheard{i}" for i in range(text_flags.PATTERN_KEYWORDS)]
+        assert rows(text_flags.trial_flags(studies, searched, many)) == expected
+
+
+def test_many_keywords_by_join_hit_as_the_pattern_does(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").selectExpr("doc_id", "'text' as field", "text")
+    extra = [(900, "text", "The of the. of, THE of"), (901, "text", None), (902, "text", ""), (903, "text", "é-the covid-19, covid")]
+    long = docs.union(spark.createDataFrame(extra, docs.schema))
+    keywords = ["the", "of the", "of, the of", "de la", "que", "covid-19", "covid", "19", "tion", "th"]
+    one = text_flags.text_hits(long, "doc_id", keywords)
+    many = text_flags.text_hits(long, "doc_id", keywords, most=3)
+    assert rows(one) == rows(many) and one.count() > 50
+    with pytest.raises(ValueError, match="start and end"):
+        text_flags.text_hits(long, "doc_id", ["-x", "a"], most=1)
 
 
 def test_flagged_device_without_keyword_in_its_name(spark):

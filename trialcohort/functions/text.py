@@ -52,12 +52,22 @@ def keyword_pattern(keywords: Iterable[str]) -> str:
     if not words:
         raise ValueError("no keywords given")
     any_word = "|".join("".join(c if _is_word(c) else "\\" + c for c in k) for k in words)
-    if not all(_is_word(k[0]) and _is_word(k[-1]) for k in words):
+    if not all(has_word_edges(k) for k in words):
         return f"(?iu){_BOUNDARY}({any_word}){_BOUNDARY}"
     first = "".join(sorted(set().union(*(_case_variants(c) for c in {k[0] for k in words}))))
     return f"(?=[{first}])(?<!{_WORD})(?iu:({any_word}))(?!{_WORD})"
 
 
+def has_word_edges(keyword: str) -> bool:
+    """True for a clean keyword whose first and last characters are word characters."""
+    return _is_word(keyword[0]) and _is_word(keyword[-1])
+
+
+def word_pieces(text: Column) -> Column:
+    """The lower-cased text cut into runs of word characters and runs of others, in order."""
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(rf"{_WORD}+|[^\p{{L}}\p{{N}}_]+"), F.lit(0))
+
+
 def keyword_hits(text: Column, pattern: str) -> Column:
     """Distinct lower-cased keywords found in the whole text, sorted; empty when the text is null."""
     found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pattern), F.lit(1))
