@@ -2,7 +2,8 @@
 
 Both public tokenizers used here cut a text before every single blank that stands between two solid characters, so what
 lies between such blanks encodes on its own. Repeated pieces are therefore encoded once and looked up afterwards; texts
-with any other blank (doubled, or beside other white space) are encoded whole.
+with any other blank (doubled, or beside other white space) are encoded whole. Both also cut between letters and a mark
+behind them, so a new piece of Latin letters and marks is its stem's ids, from the tokenizer's merge model, and its marks'.
 """
 
 from __future__ import annotations
@@ -15,9 +16,12 @@ from itertools import chain
 import numpy as np
 import public_tokenizers
 
-MOST_PIECES = 700_000
+MOST_PIECES, MOST_STEMS = 600_000, 400_000
 SPECIAL = "<|endoftext|>"  # a special token of both tokenizers; it parts the pieces of one call
 AT_ONCE = 2_000
+# Latin letters but for the one whose lower case has a mark of its own, then marks
+STEM = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,!?;:]*)")
+RARE_SPACE = re.compile("[\\x09\\x0b-\\x0d\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
 ODD_BLANK = re.compile(r" (?=\s|$)|(?<=\s) |^ ")
 
 
@@ -25,6 +29,20 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def is_odd(text: str) -> bool:
+    """Whether some blank doesn't stand between two solid characters; true for an empty text."""
+    if not text or text[0] == " " or text[-1] == " " or "  " in text or " \n" in text or "\n " in text:
+        return True
+    return bool(RARE_SPACE.search(text) and ODD_BLANK.search(text))
+
+
+def byte_letters() -> list[str]:
+    """The character that stands for each byte in byte-level models: itself if it prints, else one from 256 on, in order."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    other = [b for b in range(256) if b not in plain]
+    return [chr(b) if b in plain else chr(256 + other.index(b)) for b in range(256)]
+
+
 class Encoder:
     """Encodes batches of texts. Up to about MOST_PIECES pieces are remembered, then those used only once are forgotten."""
 
@@ -34,6 +52,10 @@ class Encoder:
 
         self.tokenizer, self.blank = Tokenizer.from_file(path), " " if leading_blank else ""
         self.special = self.tokenizer.token_to_id(SPECIAL)
+        # a tokenizer for pieces without a leading blank is one that lower-cases
+        self.lower, self.letters = not leading_blank, byte_letters()
+        self.stems: dict[str, tuple[int, ...]] = {}
+        self.marks: dict[str, tuple[int, ...]] = {"": ()}
         self.clear()
 
     def clear(self) -> None:
@@ -52,30 +74,56 @@ class Encoder:
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def stem_ids(self, stem: str) -> tuple[int, ...]:
+        found = self.stems.get(stem)
+        if found is None:
+            text = stem.lower() if self.lower else self.blank + stem
+            if not text.isascii() or self.blank:
+                text = "".join(map(self.letters.__getitem__, text.encode()))
+            found = self.stems[stem] = tuple(x.id for x in self.tokenizer.model.tokenize(text))
+        return found
+
+    def mark_ids(self, marks: str) -> tuple[int, ...]:
+        found = self.marks.get(marks)
+        if found is None:
+            ids = tuple(self.whole([marks])[0])
+            if len(self.marks) < 1_000:
+                self.marks[marks] = ids
+            return ids
+        return found
+
     def learn(self, pieces: list[str]) -> None:
-        plain = [x for x in pieces if "<|" not in x]
-        rest = [x for x in pieces if "<|" in x]
-        runs = [plain[i : i + AT_ONCE] for i in range(0, len(plain), AT_ONCE)]
-        found = self.whole(["".join(self.blank + x + SPECIAL for x in run) for run in runs])
-        parts, ends = [], []
-        for ids in found:
+        if len(self.stems) > MOST_STEMS:
+            self.stems.clear()
+        found: list[tuple[int, ...]] = [()] * len(pieces)
+        rest, other = [], []
+        for i, x in enumerate(pieces):
+            m = STEM.fullmatch(x)
+            if m:
+                stem, marks = m.groups()
+                found[i] = self.stem_ids(stem.lower() if self.lower else stem) + self.mark_ids(marks)
+            else:
+                (other if "<|" in x else rest).append(i)
+        # all others between special tokens, many in one call; those that hold such a token's beginning one by one
+        runs = [rest[i : i + AT_ONCE] for i in range(0, len(rest), AT_ONCE)]
+        for run, ids in zip(runs, self.whole(["".join(self.blank + pieces[i] + SPECIAL for i in run) for run in runs]), strict=True):
             ids = np.array(ids, np.uint32)
-            stop = ids == self.special
-            ends.append(np.cumsum(~stop)[stop] + sum(map(len, parts)))
-            parts.append(ids[~stop])
-        for ids in self.whole([self.blank + x for x in rest]):
-            parts.append(np.array(ids, np.uint32))
-            ends.append(np.array([sum(map(len, parts))]))
+            stops = np.flatnonzero(ids == self.special)
+            for i, part in zip(run, np.split(ids, stops), strict=False):
+                found[i] = tuple(part[part != self.special].tolist())
+        for i, ids in zip(other, self.whole([self.blank + pieces[i] for i in other]), strict=True):
+            found[i] = tuple(ids)
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
         n = len(self.place)
-        self.place.update(zip(plain + rest, range(n, n + len(pieces)), strict=True))
-        self.starts = np.concatenate([self.starts, *(self.starts[-1] + x for x in ends)])
-        self.ids = np.concatenate([self.ids, *parts])
+        self.place.update(zip(pieces, range(n, n + len(pieces)), strict=True))
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))])
         self.uses = np.concatenate([self.uses, np.zeros(len(pieces), np.int64)])
 
     def encode(self, texts: list[str | None], end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, `end` after each, and the offsets of each text's ids. Null is an empty text."""
         texts = [x or "" for x in texts]
-        odd = [i for i, x in enumerate(texts) if not x or ODD_BLANK.search(x)]
+        odd = [i for i, x in enumerate(texts) if is_odd(x)]
         plain = sorted(set(range(len(texts))) - set(odd))
         # a text's first piece has no blank before it, and is one of the pieces encoded without memory
         heads, tails = [], []
