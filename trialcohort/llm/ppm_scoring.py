@@ -1,18 +1,19 @@
 """Language-model scores by prediction by partial matching (PPM) over byte contexts, beside a unigram base score.
 
 A text is its tokens: words (runs of anything but ASCII white space, A-Z lower-cased), each followed by one blank, and an end
-mark. The model predicts byte after byte from up to ORDER bytes before, back to the blank ahead of the word; contexts
-are kept as a trie of reversed bytes with the counts of what follows. Where a byte hasn't followed a context, the
-model escapes to the next shorter one: the escape counts as often as the context has distinct followers (method C), and
-symbols that the longer context knows are excluded from the shorter ones. Below the empty context all symbols left over
-are alike. Probabilities of all symbols thus add up to 1 in every context.
-
-As contexts end at the word's blank, a word's code length depends on the word alone. Counts and lengths are therefore
-worked out once for each distinct word, and the corpus counts of words carry the whole training text: they grow with it.
-
-Frequent words reach the tasks as a table of HEAD words, a bound by parameter; the rest of each document's words meet their
-counts in a shuffled join. A null or empty text is the end mark alone. Rows equal in doc_id and text get equal scores. Null
-ids are kept, extra columns ignored. Without training texts every symbol has the same probability.
+mark. The model predicts byte after byte of this stream, the end mark too, from the ORDER bytes before, across words; before a
+text's first byte stand blanks. Contexts are kept as a trie of reversed bytes with the counts of what follows. Where a byte
+hasn't followed a context, the model escapes to the next shorter one: the escape counts as often as the context has distinct
+followers (method C), and symbols that the longer context knows are excluded from the shorter ones. Below the empty context
+all symbols left over are alike. Probabilities of all symbols thus add up to 1 in every context.
+
+The base score takes tokens alone: words are counted over all training texts. So are events, pairs of context and symbol; a
+text's score is the sum over its events, each with the cost worked out once for the corpus.
+
+Frequent words and events reach the tasks as tables of at most HEAD and COSTS rows, bounds by parameter; the rest of each
+document's words and events, summed per document, meet their counts and costs in a shuffled join. A null or empty text is the
+end mark alone. Rows equal in doc_id and text get equal scores. Null ids are kept, extra columns ignored. Without training
+texts every symbol has the same probability.
 """
 
 from __future__ import annotations
@@ -31,10 +32,10 @@ ORDER = 4
 SYMBOLS = 257  # bytes and the end mark
 END_MARK = 256
 HEAD = 200_000
-COSTS = 4_000_000  # up to so many (context, symbol) pairs are broadcast, 64 MB; more are joined
+COSTS = 4_000_000  # so many of the most frequent (context, symbol) pairs are broadcast at most, 64 MB; others are joined
 SLICE = 4 << 20
 HELD = 400_000
-BLANKS = 0x20202020  # the context at a word's start
+WORD, EVENT = 1, 2  # kinds of rows that meet a count or a cost; a text's own row is of kind 0
 
 
 def counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -62,21 +63,34 @@ def counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from out()
 
 
-def word_events(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """For each byte of each word and the blank behind it: the word's index, and (reversed context << 9) + symbol."""
-    data, offsets = T.raw(words)
-    n = len(offsets) - 1
-    size = np.diff(offsets)
-    begin = np.concatenate([[0], np.cumsum(size + ORDER + 1)])
-    padded = np.full(int(begin[-1]), 0x20, np.uint8)
-    word = np.repeat(np.arange(n), size)
-    padded[np.arange(len(data)) + (word + 1) * ORDER + word] = data
-    owner = np.repeat(np.arange(n), size + 1)
-    at = np.arange(len(owner)) + (owner + 1) * ORDER
-    context = np.zeros(len(at), np.int64)
-    for k in range(1, ORDER + 1):
-        context = context << 8 | padded[at - k]
-    return owner, context << 9 | padded[at]
+def stream(text: T.Words) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of the texts' streams, each with ORDER blanks before it and a place for the end mark; and each text's first event, one more at the end."""
+    m = len(text.offsets) - 1
+    ahead = np.concatenate([[0], np.cumsum(text.ends - text.starts + 1)])
+    first = ahead[text.first] + np.arange(m + 1)
+    out = np.full(int(first[-1]) + m * ORDER, 0x20, np.uint8)
+    solid = np.ones(len(out), bool)
+    solid[(first[:-1] + np.arange(m) * ORDER)[:, None] + np.arange(ORDER)] = False
+    solid[ahead[1:] - 1 + text.doc + (text.doc + 1) * ORDER] = False
+    solid[first[1:] - 1 + np.arange(1, m + 1) * ORDER] = False
+    out[solid] = text.data[T.SOLID[text.data]]
+    return out, first
+
+
+def text_events(text: T.Words, most: int = T.BLOCK) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each byte of each text's stream and the end mark: the text's index, and (reversed context << 9) + symbol; at most `most` at a time."""
+    data, first = stream(text)
+    for a in range(0, int(first[-1]), most):
+        b = min(int(first[-1]), a + most)
+        owner = np.repeat(np.arange(len(first) - 1), np.diff(first.clip(a, b)))
+        at = np.arange(a, b) + (owner + 1) * ORDER
+        context = np.zeros(b - a, np.int64)
+        for k in range(1, ORDER + 1):
+            context = context << 8 | data[at - k]
+        symbol = data[at].astype(np.int64)
+        ends = first[1:] - 1
+        symbol[ends[(ends >= a) & (ends < b)] - a] = END_MARK
+        yield owner, context << 9 | symbol
 
 
 def raw_words(column: pa.Array) -> pa.Array:
@@ -86,29 +100,27 @@ def raw_words(column: pa.Array) -> pa.Array:
 
 
 def trie_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (event, n), summed over many words of a task."""
+    """Rows (event, n): occurrences in training texts, 0 for events of other texts; summed over many texts of a task."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
     size = 0
 
     def out() -> Iterator[pa.RecordBatch]:
         if held:
-            event, inverse = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
-            n = np.bincount(inverse, np.concatenate([x for _, x in held])).astype(np.int64)
+            event, n, _ = sum_by(np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held]))
             for a in range(0, len(event), 100_000):
-                yield pa.record_batch({"event": pa.array(event[a : a + 100_000]), "n": pa.array(n[a : a + 100_000])})
+                yield pa.record_batch({"event": pa.array(event[a : a + 100_000]), "n": pa.array(n[a : a + 100_000].astype(np.int64))})
         held.clear()
 
     for batch in batches:
-        for a in range(0, batch.num_rows, 50_000):
-            part = batch.slice(a, 50_000)
-            owner, event = word_events(raw_words(part.column("word")))
-            weight = part.column("n").to_numpy()
-            unique, inverse = np.unique(event, return_inverse=True)
-            held.append((unique, np.bincount(inverse, weight[owner])))
-            size += len(unique)
-            if size > 3_000_000:
-                yield from out()
-                size = 0
+        for part in T.slices(batch):
+            train = part.column("train").to_numpy(zero_copy_only=False).astype(np.int64)
+            for owner, event in text_events(T.of(part, T.SOLID, True)):
+                unique, times = np.unique(event << 1 | train[owner], return_counts=True)
+                held.append((unique >> 1, times * (unique & 1)))
+                size += len(unique)
+                if size > 3_000_000:
+                    yield from out()
+                    size = 0
     yield from out()
 
 
@@ -160,7 +172,7 @@ def code_lengths(event: np.ndarray, n: np.ndarray, one: np.ndarray, zero: np.nda
 
 
 def costing(one: np.ndarray, zero: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows (event, cost) from events sorted within the task; events with equal last two bytes are looked at together."""
+    """Rows (event, n, cost) from events sorted within the task; events with equal last two bytes are looked at together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         event, n = np.empty(0, np.int64), np.empty(0, np.int64)
@@ -168,7 +180,8 @@ def costing(one: np.ndarray, zero: np.ndarray) -> Callable[[Iterator[pa.RecordBa
         def out(m: int) -> Iterator[pa.RecordBatch]:
             cost = code_lengths(event[:m], n[:m], one, zero)
             for a in range(0, m, 100_000):
-                yield pa.record_batch({"event": pa.array(event[a : min(m, a + 100_000)]), "cost": pa.array(cost[a : a + 100_000])})
+                b = min(m, a + 100_000)
+                yield pa.record_batch({"event": pa.array(event[a:b]), "n": pa.array(n[a:b]), "cost": pa.array(cost[a:b])})
 
         shift = 9 + 8 * (ORDER - 2)
         for batch in batches:
@@ -184,30 +197,6 @@ def costing(one: np.ndarray, zero: np.ndarray) -> Callable[[Iterator[pa.RecordBa
     return run
 
 
-def looking_up(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:  # noqa: ANN001
-    """Rows (word, n, cost) from (word, n), with the broadcast costs of events."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        event, cost = shared.value
-        for batch in batches:
-            for a in range(0, batch.num_rows, 50_000):
-                part = batch.slice(a, 50_000)
-                owner, own = word_events(raw_words(part.column("word")))
-                total = np.bincount(owner, cost[np.searchsorted(event, own)], minlength=part.num_rows)
-                yield pa.record_batch({"word": part.column("word"), "n": part.column("n"), "cost": pa.array(total)})
-
-    return run
-
-
-def listing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (word, n, event), one for each event of a word."""
-    for batch in batches:
-        for a in range(0, batch.num_rows, 20_000):
-            part = batch.slice(a, 20_000)
-            owner, event = word_events(raw_words(part.column("word")))
-            yield pa.record_batch({"word": part.column("word").take(pa.array(owner)), "n": part.column("n").take(pa.array(owner)), "event": pa.array(event)})
-
-
 def heads(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """The first eight bytes of each word as one number; together with the hash they tell words apart."""
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
@@ -217,11 +206,11 @@ def heads(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def keying(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (h, p, n, cost) from (word, n, cost)."""
+    """Rows (h, p, n) from (word, n)."""
     for batch in batches:
         data, offsets = T.raw(raw_words(batch.column("word")))
         h = T.hashes(data, offsets[:-1], offsets[1:])
-        yield pa.record_batch({"h": pa.array(h.view(np.int64)), "p": pa.array(heads(data, offsets[:-1], offsets[1:])), "n": batch.column("n"), "cost": batch.column("cost")})
+        yield pa.record_batch({"h": pa.array(h.view(np.int64)), "p": pa.array(heads(data, offsets[:-1], offsets[1:])), "n": batch.column("n")})
 
 
 def vocabulary(docs: DataFrame) -> DataFrame:
@@ -229,33 +218,37 @@ def vocabulary(docs: DataFrame) -> DataFrame:
     return stage(docs.select("text", "train").mapInArrow(counting, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
 
 
-def word_costs(words: DataFrame, trained: int, most: int = COSTS) -> tuple[DataFrame, float]:
-    """(word, n, cost) for each word: log10 of its probability with the blank behind it; and that of the end mark."""
-    spark = words.sparkSession
-    ends = spark.createDataFrame([(BLANKS << 9 | END_MARK, trained)], "event long, n long")
-    counts = words.mapInArrow(trie_counts, "event long, n long").unionByName(ends).groupBy("event").agg(F.sum("n").alias("n"))
+def event_costs(docs: DataFrame) -> DataFrame:
+    """Staged (event, n, cost) of all events: occurrences in training texts, and log10 of the probability. docs has text and train."""
+    counts = docs.select("text", "train").mapInArrow(trie_counts, "event long, n long").groupBy("event").agg(F.sum("n").alias("n"))
     counts = stage(counts, "trie")
     # at most 256 x 257 sums, whatever the input
     short = counts.groupBy(F.shiftright("event", 9 + 8 * (ORDER - 1)).alias("last"), F.col("event").bitwiseAND(511).alias("symbol")).agg(F.sum("n").alias("n")).toPandas()
     one = np.zeros((256, SYMBOLS))
     one[short["last"].to_numpy(np.int64), short["symbol"].to_numpy(np.int64)] = short["n"].to_numpy(float)
     by_tail = counts.repartition(F.shiftright("event", 9 + 8 * (ORDER - 2))).sortWithinPartitions("event")
-    costs = stage(by_tail.mapInArrow(costing(one, one.sum(0)), "event long, cost double"), "costs")
-    end = costs.filter(F.col("event") == (BLANKS << 9 | END_MARK)).first()["cost"]
-    if costs.count() <= most:
-        table = costs.toPandas().sort_values("event")
-        shared = spark.sparkContext.broadcast((table["event"].to_numpy(np.int64), table["cost"].to_numpy(float)))
-        return words.mapInArrow(looking_up(shared), "word binary, n long, cost double"), end
-    rows = words.mapInArrow(listing, "word binary, n long, event long").join(costs, "event")
-    return rows.groupBy("word").agg(F.first("n").alias("n"), F.sum("cost").alias("cost")), end
+    return stage(by_tail.mapInArrow(costing(one, one.sum(0)), "event long, n long, cost double"), "costs")
+
+
+def frequent(counts: DataFrame, most: int) -> Column:
+    """A condition on n that at most `most` rows of counts meet, the most frequent ones; large n are cut in steps of about a twelfth.
+
+    At most about a thousand sums reach the driver; a sorted head of every task would fill it.
+    """
+    n = F.col("n")
+    level = F.when(n < 512, n).otherwise(440 + F.floor(F.log2(n) * 8))
+    levels = counts.groupBy(level.alias("level")).agg(F.count("*").alias("rows")).toPandas().sort_values("level", ascending=False)
+    fits = levels["level"][levels["rows"].cumsum() <= most]
+    return level >= int(fits.min()) if len(fits) else F.lit(False)
 
 
-def scoring(shared, floor: float, total: float, end: tuple[float, float, int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:  # noqa: ANN001
-    """For each text a row with the sums over its frequent words, and a row for each other distinct word (times > 0)."""
+def scoring(shared, costs, floor: float, total: float, end: tuple[float, int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:  # noqa: ANN001
+    """For each text a row with the sums over its frequent words and events, and a row for each other distinct word and event (times > 0)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        h, p, n, cost = shared.value
+        h, p, n = shared.value
         known, base = n > 0, np.log10((n + floor) / total)
+        priced, cost = costs.value
         for batch in batches:
             for part in T.slices(batch, most=SLICE):
                 text = T.of(part, T.SOLID, True)
@@ -264,33 +257,50 @@ def scoring(shared, floor: float, total: float, end: tuple[float, float, int]) -
                 begin = heads(text.data, text.starts[first], text.ends[first])
                 at = np.searchsorted(h, unique).clip(0, max(0, len(h) - 1))
                 hit = (h[at] == unique) & (p[at] == begin) if len(h) else np.zeros(len(unique), bool)
-                sums = [np.where(hit, x[at], 0.0) if len(h) else np.zeros(len(unique)) for x in (known, base, cost)]
-                n_known, base_sum, cost_sum = (np.bincount(text.doc, x[inverse], minlength=m) + e for x, e in zip(sums, (end[2], end[0], end[1]), strict=True))
+                sums = [np.where(hit, x[at], 0.0) if len(h) else np.zeros(len(unique)) for x in (known, base)]
+                n_known, base_sum = (np.bincount(text.doc, x[inverse], minlength=m) + e for x, e in zip(sums, (end[1], end[0]), strict=True))
                 rare = np.flatnonzero(~hit[inverse])
                 pair, times = np.unique(text.doc[rare] * (len(unique) + 1) + inverse[rare], return_counts=True)
                 doc, word = np.divmod(pair, len(unique) + 1)
+                others = [(doc, unique[word].view(np.int64), begin[word], np.full(len(doc), WORD), times)]
+                score = np.zeros(m)
+                for owner, event in text_events(text):
+                    events = np.unique(event)
+                    at = np.searchsorted(priced, events).clip(0, max(0, len(priced) - 1))
+                    hit = priced[at] == events if len(priced) else np.zeros(len(events), bool)
+                    place = np.searchsorted(events, event)
+                    score += np.bincount(owner, (np.where(hit, cost[at], 0.0) if len(priced) else np.zeros(len(events)))[place], minlength=m)
+                    if not hit.all():
+                        rare = np.flatnonzero(~hit[place])
+                        pair, times = np.unique(owner[rare] * (len(events) + 1) + place[rare], return_counts=True)
+                        doc, place = np.divmod(pair, len(events) + 1)
+                        others.append((doc, events[place], np.zeros(len(doc), np.int64), np.full(len(doc), EVENT), times))
+                doc, key, head, kind, times = (np.concatenate(x) for x in zip(*others, strict=True))
                 k1, k2 = (part.column(x).to_numpy() for x in ("k1", "k2"))
                 whole, some = np.arange(m), len(doc)
                 put = lambda a, b, kind: pa.array(np.concatenate([np.asarray(a, kind), np.asarray(b, kind)]))
-                yield pa.record_batch(
+                rows = pa.record_batch(
                     {
                         "k1": put(k1, k1[doc], np.int64),
                         "k2": put(k2, k2[doc], np.int64),
-                        "h": put(k2, unique[word].view(np.int64), np.int64),
-                        "p": put(whole, begin[word], np.int64),
+                        "h": put(k2, key, np.int64),
+                        "p": put(whole, head, np.int64),
+                        "kind": put(np.zeros(m), kind, np.int32),
                         "times": put(np.zeros(m), times, np.int64),
                         "doc_id": pa.concat_arrays([part.column("doc_id"), pa.nulls(some, pa.int64())]),
                         "n_tokens": put(text.counts + 1, np.zeros(some), np.int64),
                         "n_known": put(n_known, np.zeros(some), np.int64),
                         "base": put(base_sum, np.zeros(some), float),
-                        "score": put(cost_sum, np.zeros(some), float),
+                        "score": put(score, np.zeros(some), float),
                     }
                 )
+                for a in range(0, rows.num_rows, 100_000):
+                    yield rows.slice(a, 100_000)
 
     return run
 
 
-SUMS = "k1 long, k2 long, h long, p long, times long, doc_id long, n_tokens long, n_known long, base double, score double"
+SUMS = "k1 long, k2 long, h long, p long, kind int, times long, doc_id long, n_tokens long, n_known long, base double, score double"
 
 
 def score(docs: DataFrame, train: Column, head: int = HEAD, costs: int = COSTS) -> DataFrame:
@@ -305,26 +315,30 @@ def score(docs: DataFrame, train: Column, head: int = HEAD, costs: int = COSTS)
     found = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
     tokens, distinct = found["n"] + trained, found["v"] + (trained > 0)
     total = tokens + 0.5 * (distinct + 1)
-    priced, end_cost = word_costs(words, trained, costs)
-    priced = stage(priced.mapInArrow(keying, "h long, p long, n long, cost double"), "vocabulary")
-    top = priced.orderBy(F.desc("n"), "h", "p").limit(head).toPandas()
+    words = stage(words.mapInArrow(keying, "h long, p long, n long"), "vocabulary")
+    top = words.filter(frequent(words, head)).toPandas()
     h = top["h"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(h)
-    kinds = {"p": np.int64, "n": np.int64, "cost": float}
-    shared = spark.sparkContext.broadcast((h[order], *(top[x].to_numpy(k)[order] for x, k in kinds.items())))
-    end = float(np.log10((trained + 0.5) / total)), end_cost, int(trained > 0)
-    rows = docs.select("doc_id", "text", "k1", "k2").mapInArrow(scoring(shared, 0.5, total, end), SUMS)
-    # a text's own row carries no word; its key is its own hash, spread like the words', and meets nothing
-    rest = priced.select("h", "p", F.lit(True).alias("word"), F.col("n").alias("c"), "cost")
-    rows = rows.withColumn("word", F.col("times") > 0).join(rest, ["h", "p", "word"], "left")
+    shared = spark.sparkContext.broadcast((h[order], *(top[x].to_numpy(np.int64)[order] for x in ("p", "n"))))
+    priced = event_costs(docs)
+    often = frequent(priced, costs)
+    table = priced.filter(often).select("event", "cost").toPandas().sort_values("event")
+    table = spark.sparkContext.broadcast((table["event"].to_numpy(np.int64), table["cost"].to_numpy(float)))
+    end = float(np.log10((trained + 0.5) / total)), int(trained > 0)
+    rows = docs.select("doc_id", "text", "k1", "k2").mapInArrow(scoring(shared, table, 0.5, total, end), SUMS)
+    # a text's own row carries no word or event; its key is its own hash, spread like the words', and meets nothing
+    rest = words.select("h", "p", F.lit(WORD).alias("kind"), F.col("n").alias("c"), F.lit(None).cast("double").alias("cost"))
+    rest = rest.unionByName(priced.filter(~often).select(F.col("event").alias("h"), F.lit(0).cast("long").alias("p"), F.lit(EVENT).alias("kind"), F.lit(None).cast("long").alias("c"), "cost"))
+    rows = rows.join(rest, ["h", "p", "kind"], "left")
     times = F.col("times")
-    own = F.count_if(times == 0)
+    own = F.count_if(F.col("kind") == 0)
+    base = F.when(F.col("kind") == WORD, times * F.log10((F.coalesce("c", F.lit(0)) + 0.5) / total)).otherwise(0.0)
     sums = rows.groupBy("k1", "k2").agg(
         own.alias("copies"),
         F.max("doc_id").alias("doc_id"),
         (F.sum("n_tokens") / own).cast("long").alias("n_tokens"),
         ((F.sum("n_known") + F.sum(F.when(F.col("c") > 0, times).otherwise(0))) / own).cast("long").alias("n_known"),
-        ((F.sum("base") + F.sum(F.coalesce(times * F.log10((F.coalesce("c", F.lit(0)) + 0.5) / total), F.lit(0.0)))) / own).alias("base_score"),
+        ((F.sum("base") + F.sum(base)) / own).alias("base_score"),
         ((F.sum("score") + F.sum(F.coalesce(times * F.col("cost"), F.lit(0.0)))) / own).alias("score"),
     )
     sums = sums.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
