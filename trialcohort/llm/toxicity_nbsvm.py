@@ -5,7 +5,8 @@ UTF-8 bytes, each counted once. A feature's value is r = log((pos + 1) / (n_pos
 numbers of toxic and other texts with it, and a regularised logistic regression over these values weighs them.
 
 Labels: a document is toxic if any of its label rows says 1; rows without doc_id or toxic don't count. The fit uses a
-sample of at most about SAMPLE texts of each kind, picked by a hash of doc_id, and the FEATURES most telling n-grams;
+sample of at most about SAMPLE texts of each kind, picked by a hash of doc_id (where rows share a doc_id, the text with
+the least hash stands for all), and the FEATURES most telling n-grams;
 both bounds are parameters. Every document is scored over its whole text. Without toxic labels every score is 0, without
 others 1. A null or empty text has no feature and gets the score of the intercept. Repeated rows are scored each for
 itself. Languages, sources and ids are never features.
@@ -125,7 +126,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, orders
     """The model of a sample of the labelled documents. usable: a condition on doc_id that label rows must meet.
 
     What reaches the driver is bounded by the parameters: labels of 2 * sample ids to broadcast, `chosen` counts, and
-    the chosen features of 2 * sample texts.
+    the chosen features of 2 * sample texts. Rows that share a picked doc_id are reduced to one text before any of that.
     """
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
     known = (known if usable is None else known.filter(usable)).groupBy("doc_id").agg((F.max("toxic") >= 1).cast("int").alias("toxic"))
@@ -135,7 +136,8 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, orders
     chance = F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(1 << 30))
     limit = F.when(F.col("toxic") == 1, min(1, sample / n[1])).otherwise(min(1, sample / n[0])) * (1 << 30)
     picked = F.broadcast(known.filter(chance < limit))
-    texts = stage(docs.select("doc_id", "text").join(picked, "doc_id").select("text", "toxic"), "toxic")
+    rows = docs.select("doc_id", "text").join(picked, "doc_id")
+    texts = stage(rows.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.first("toxic").alias("toxic")).select("text", "toxic"), "toxic")
     n = {x["toxic"]: x["n"] for x in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not n.get(0) or not n.get(1):  # labels without their documents
         return Model(orders, bits, np.empty(0, np.int64), np.empty(0), np.inf if n.get(1) else -np.inf)
