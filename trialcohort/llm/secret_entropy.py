@@ -6,8 +6,9 @@ a kind, and those that are too short fall after matching.
 Entropy: candidates are runs of 20 or more characters of base64 or names, with a digit and a letter. A window of 20
 characters slides over each; the counts of characters in the window are updated by the one that enters and the one that
 leaves, and so is the sum of c * log2(c), which gives the Shannon entropy log2(20) - sum / 20. A candidate is a secret if
-some window reaches the limit of its class (hexadecimal or mixed). Allow-listed candidates (identifiers in the form of a
-UUID, digests of sub-resources, alphabets, placeholders) and those within a span found already are left out.
+some window reaches the limit of its class (hexadecimal or mixed). Windows that overlap an allowed word (alphabets,
+placeholders) don't count; the others of the candidate do. Allow-listed candidates (identifiers in the form of a UUID,
+digests of sub-resources) and those within a span found already are left out.
 
 Spans count code points from 0, the end is exclusive. A null text is empty and has none. Rows are independent of each
 other: repeated rows, null ids and extra columns make no difference.
@@ -30,11 +31,9 @@ CANDIDATE = "[A-Za-z0-9+/_=-]{20,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 WINDOW = 20
 HEX_LIMIT, MIXED_LIMIT = 3.0, 3.6
-ALLOWED = [
-    "^[0-9A-Fa-f]{8}-([0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}$",
-    "^sha(256|384|512)-",
-    "0123456789|(?i:abcdefghij|example|placeholder|xxxxx)",
-]
+ALLOWED_RUNS = ["^[0-9A-Fa-f]{8}-([0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}$", "^sha(256|384|512)-"]
+ALLOWED_WORDS = "0123456789|(?i:abcdefghij|example(?:xample)*|placeholder|x{5,})"  # occurrences that overlap are one
+ALLOWED = [*ALLOWED_RUNS, ALLOWED_WORDS]
 
 
 def matches(text: Column, pattern: str, kind: int, group: int = 0, least: int = 0) -> Column:
@@ -86,10 +85,11 @@ def window_entropy(value: Column, window: int = WINDOW) -> Column:
 def is_random(value: Column) -> Column:
     mixed = value.rlike("[0-9]") & value.rlike("[A-Za-z]")
     allowed = F.lit(False)
-    for pattern in ALLOWED:
+    for pattern in ALLOWED_RUNS:
         allowed |= value.rlike(pattern)
     limit = F.when(value.rlike("^([0-9a-f]+|[0-9A-F]+)$"), HEX_LIMIT).otherwise(MIXED_LIMIT)
-    return mixed & ~allowed & F.when(mixed & ~allowed, window_entropy(value) >= limit).otherwise(False)
+    pieces = F.filter(F.split(value, ALLOWED_WORDS, -1), lambda x: F.length(x) >= WINDOW)
+    return mixed & ~allowed & F.when(mixed & ~allowed, F.exists(pieces, lambda x: window_entropy(x) >= limit)).otherwise(False)
 
 
 def secret_spans(docs: DataFrame) -> DataFrame:
