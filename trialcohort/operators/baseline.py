@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trialcohort.functions.fixed_values import TITLE_WORDS
+from trialcohort.functions.fixed_values import CURATED_TITLES, TITLE_WORDS
 from trialcohort.functions.text import has_token
 from trialcohort.operators.joins import left_join_many, lookup_join
 
@@ -77,10 +77,11 @@ def title_candidates(df: DataFrame, title: str = "title", words: Iterable[str] =
 def with_title_category(df: DataFrame, dictionary: DataFrame | None = None, title: str = "title") -> DataFrame:
     """Adds cat_title: the category of the title, letter case aside but not blanks; 'unknown' without one.
 
-    Without a dictionary of curated titles the rule by words decides for every title.
+    Without a dictionary the titles of CURATED_TITLES count, each in the category of its words.
     """
     if dictionary is None:
-        return df.withColumn("cat_title", F.coalesce(title_category(F.col(title)), F.lit(UNKNOWN)))
+        curated = F.lower(F.col(title)).isin(sorted({t.lower() for t in CURATED_TITLES}))
+        return df.withColumn("cat_title", F.coalesce(F.when(curated, title_category(F.col(title))), F.lit(UNKNOWN)))
     keyed = df.withColumn("title_lc", F.lower(F.col(title)))
     named = dictionary.select("title_lc", F.col("category").alias("cat_title"))
     return (
@@ -117,7 +118,7 @@ def with_expression(df: DataFrame) -> DataFrame:
 
 
 def categorise(baselines: DataFrame, dictionary: DataFrame | None = None) -> DataFrame:
-    """Rows whose title has a category, by the dictionary or else by the rule, with cat_title, nan_status and cat_exp."""
+    """Rows whose title has a category, by the dictionary or else by the titles shipped, with cat_title, nan_status and cat_exp."""
     known = with_title_category(baselines, dictionary).filter(F.col("cat_title") != UNKNOWN)
     return with_expression(known)
 

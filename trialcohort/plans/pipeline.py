@@ -73,7 +73,7 @@ CODE_MAPS = ("code_map_1", "code_map_2")
 class Inputs:
     """Every table the job reads.
 
-    `titles` is a (title_lc, category) dictionary of curated titles; without one the rule by words decides.
+    `titles` is a (title_lc, category) dictionary of curated titles; without one the titles shipped count.
     `responses` are the parsed response lines that the labels came from, for reports on them.
     """
 
@@ -109,7 +109,7 @@ def exists(spark: SparkSession, path: str) -> bool:
 def read_inputs(spark: SparkSession, folder: str, file_format: str = "parquet", responses: str | None = None) -> Inputs:
     """All input tables of a folder, each in `<table>.parquet` or `<table>.csv` (a file or a folder).
 
-    Code maps may be `<table>.tsv` in either format. The titles may be missing. The labels come from response
+    Code maps may be `<table>.tsv` in either format. The titles may be missing: those shipped count then. The labels come from response
     lines when their folder is given.
     """
 
