@@ -10,12 +10,15 @@ from trialcohort.llm import oracle
 from trialcohort.llm.circulant_minhash import near_duplicate_digest
 from trialcohort.llm.common import new_path, table
 from trialcohort.llm.decontaminate_prefix import contamination
+from trialcohort.llm.filter_interaction import filter_interaction
 from trialcohort.llm.line_windows import line_digest
 from trialcohort.llm.pack_pow2 import pack
+from trialcohort.llm.partenum_join import jaccard_join
 from trialcohort.llm.ppm_scoring import model_scores
 from trialcohort.llm.quality_divergence import quality_rules
 from trialcohort.llm.recompression import repeat_digest
 from trialcohort.llm.secret_entropy import secrets
+from trialcohort.llm.source_divergence import source_divergence
 from trialcohort.llm.token_orc import token_index, write_tokens
 from trialcohort.llm.tokenizing import vocabulary
 from trialcohort.llm.toxicity_nbsvm import toxicity
@@ -64,6 +67,18 @@ def near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_digest(table(spark, sf_dir, "documents"))
 
 
+def joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
+def filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_interaction(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_divergence": quality,
@@ -76,6 +91,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_power_of_two_packing": packed,
         "op9_recompression_dedup": repeats,
         "op10_circulant_minhash": near,
+        "op11_partenum_join": joined,
+        "op12_source_divergence": sources,
+        "op13_filter_interaction": filters,
     }
 
 
