@@ -59,28 +59,23 @@ def contamination(docs, items):
     return out
 
 
-def events(word, order):
-    data = b" " * order + word.encode() + b" "
-    return [(data[i - order : i], data[i]) for i in range(order, len(data))]
+def events(text, order):
+    """(context, symbol) of each byte of a text's words, each followed by a blank, and of the end mark."""
+    data = b" " * order + b"".join(w.encode() + b" " for w in SOLID.findall(lower(text)))
+    return [(data[i - order : i], data[i]) for i in range(order, len(data))] + [(data[-order:], 256)]
 
 
 def ppm(docs, order):
+    """Rows of scores, and the cost of a symbol after a context."""
     counts, trained, trie = Counter(), 0, defaultdict(Counter)
     words = [SOLID.findall(lower(text)) for _, text in docs]
-    start = b" " * order
-
-    def learn(context, symbol):
-        for k in range(order + 1):
-            trie[context[order - k :]][symbol] += 1
-
-    for (doc, _), w in zip(docs, words):
+    for (doc, text), w in zip(docs, words):
         if remainder(doc) != 1:
             counts.update(w)
             trained += 1
-            learn(start, 256)
-            for x in w:
-                for e in events(x, order):
-                    learn(*e)
+            for context, symbol in events(text, order):
+                for k in range(order + 1):
+                    trie[context[order - k :]][symbol] += 1
 
     def cost(context, symbol):
         total, excluded = 0.0, set()
@@ -96,11 +91,10 @@ def ppm(docs, order):
 
     n, v = sum(counts.values()) + trained, len(counts) + (trained > 0)
     whole, out = n + 0.5 * (v + 1), []
-    for (doc, _), w in zip(docs, words):
+    for (doc, text), w in zip(docs, words):
         base = sum(math.log10((counts[x] + 0.5) / whole) for x in w) + math.log10((trained + 0.5) / whole)
-        score = sum(cost(*e) for x in w for e in events(x, order)) + cost(start, 256)
         known = sum(counts[x] > 0 for x in w) + (trained > 0)
-        out.append((doc, remainder(doc) == 1, len(w) + 1, known, n, base, score))
+        out.append((doc, remainder(doc) == 1, len(w) + 1, known, n, base, sum(cost(*e) for e in events(text, order))))
     return out, cost
 
 

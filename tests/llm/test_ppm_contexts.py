@@ -1,8 +1,6 @@
 """The language model over whole texts, against a plain version whose contexts cross words."""
 
-import math
 import random
-from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -17,34 +15,6 @@ from trialcohort.llm.common import id_remainder
 ORDER = ppm_scoring.ORDER
 
 
-def events(text):
-    data = b" " * ORDER + b"".join(w.encode() + b" " for w in brute.SOLID.findall(brute.lower(text)))
-    return [(data[i - ORDER : i], data[i]) for i in range(ORDER, len(data))] + [(data[-ORDER:], ppm_scoring.END_MARK)]
-
-
-def model(docs):
-    trie = defaultdict(Counter)
-    for doc, text in docs:
-        if brute.remainder(doc) != 1:
-            for context, symbol in events(text):
-                for k in range(ORDER + 1):
-                    trie[context[ORDER - k :]][symbol] += 1
-
-    def cost(context, symbol):
-        total, excluded = 0.0, set()
-        for k in range(ORDER, -1, -1):
-            left = {x: n for x, n in trie.get(context[ORDER - k :], {}).items() if x not in excluded}
-            if left:
-                whole = sum(left.values()) + len(left)
-                if symbol in left:
-                    return total + math.log10(left[symbol] / whole)
-                total += math.log10(len(left) / whole)
-                excluded |= set(left)
-        return total - math.log10(257 - len(excluded))
-
-    return cost
-
-
 def some_docs():
     rng = random.Random(7)
     words = ["the", "then", "of", "a", "é", "日本", "thorn", "\x00b", *(f"zq{i}" for i in range(40))]
@@ -62,7 +32,7 @@ def close(df, expected):
 def test_events_cross_words_in_blocks_of_any_size():
     texts = ["The  cat sat", None, "", " \n", "a b c", "é日本 x", "end"]
     text = T.of(pa.record_batch({"text": pa.array(texts)}), T.SOLID, True)
-    expected = [(k, (int.from_bytes(c[::-1], "big") << 9) + s) for k, t in enumerate(texts) for c, s in events(t)]
+    expected = [(k, (int.from_bytes(c[::-1], "big") << 9) + s) for k, t in enumerate(texts) for c, s in brute.events(t, ORDER)]
     for most in (1, 7, 1 << 20):
         found = list(ppm_scoring.text_events(text, most))
         assert list(zip(*(np.concatenate(x).tolist() for x in zip(*found)))) == expected and all(len(x) <= most for x, _ in found)
@@ -71,8 +41,7 @@ def test_events_cross_words_in_blocks_of_any_size():
 @pytest.mark.parametrize("head, costs", [(ppm_scoring.HEAD, ppm_scoring.COSTS), (2, 0), (2, 100)])
 def test_scores_of_whole_texts(make, odd, head, costs):
     data = [x for x in odd if x[0] not in (7, 8)] + some_docs()
-    cost, plain = model(data), brute.ppm(data, ORDER)[0]  # tokens and base score take no contexts
-    expected = [(*row[:6], sum(cost(*e) for e in events(text))) for row, (_, text) in zip(plain, data)]
+    expected, cost = brute.ppm(data, ORDER)
     out = ppm_scoring.score(make(data, extra=True), id_remainder() != 1, head=head, costs=costs)
     close(out.select("doc_id", (id_remainder() == 1).alias("h"), "n_tokens", "n_known", "train_tokens", "base_score", "score"), expected)
     for context in (b"    ", b"the ", b"e zq", b"zzzz"):
