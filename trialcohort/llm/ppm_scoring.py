@@ -32,7 +32,7 @@ ORDER = 4
 SYMBOLS = 257  # bytes and the end mark
 END_MARK = 256
 HEAD = 200_000
-COSTS = 4_000_000  # so many of the most frequent (context, symbol) pairs are broadcast at most, 64 MB; others are joined
+COSTS = 1_000_000  # so many of the most frequent (context, symbol) pairs are broadcast at most, 16 MB; others are joined
 SLICE = 4 << 20
 HELD = 400_000
 WORD, EVENT = 1, 2  # kinds of rows that meet a count or a cost; a text's own row is of kind 0
@@ -242,6 +242,11 @@ def frequent(counts: DataFrame, most: int) -> Column:
     return level >= int(fits.min()) if len(fits) else F.lit(False)
 
 
+def columns(rows: DataFrame) -> list[np.ndarray]:
+    """The columns of a table of bounded size."""
+    return [x.to_numpy() for x in rows.toArrow().columns]
+
+
 def scoring(shared, costs, floor: float, total: float, end: tuple[float, int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:  # noqa: ANN001
     """For each text a row with the sums over its frequent words and events, and a row for each other distinct word and event (times > 0)."""
 
@@ -316,14 +321,15 @@ def score(docs: DataFrame, train: Column, head: int = HEAD, costs: int = COSTS)
     tokens, distinct = found["n"] + trained, found["v"] + (trained > 0)
     total = tokens + 0.5 * (distinct + 1)
     words = stage(words.mapInArrow(keying, "h long, p long, n long"), "vocabulary")
-    top = words.filter(frequent(words, head)).toPandas()
-    h = top["h"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(h)
-    shared = spark.sparkContext.broadcast((h[order], *(top[x].to_numpy(np.int64)[order] for x in ("p", "n"))))
+    h, p, n = columns(words.filter(frequent(words, head)).select("h", "p", "n"))
+    order = np.argsort(h.view(np.uint64))
+    shared = spark.sparkContext.broadcast((h.view(np.uint64)[order], p[order], n[order]))
     priced = event_costs(docs)
     often = frequent(priced, costs)
-    table = priced.filter(often).select("event", "cost").toPandas().sort_values("event")
-    table = spark.sparkContext.broadcast((table["event"].to_numpy(np.int64), table["cost"].to_numpy(float)))
+    event, cost = columns(priced.filter(often).select("event", "cost"))
+    order = np.argsort(event)
+    table = spark.sparkContext.broadcast((event[order], cost[order]))
+    del h, p, n, event, cost, order
     end = float(np.log10((trained + 0.5) / total)), int(trained > 0)
     rows = docs.select("doc_id", "text", "k1", "k2").mapInArrow(scoring(shared, table, 0.5, total, end), SUMS)
     # a text's own row carries no word or event; its key is its own hash, spread like the words', and meets nothing
