@@ -1,4 +1,5 @@
 import re
+import time
 import unicodedata
 
 import pytest
@@ -100,6 +101,25 @@ def test_whole_documents_against_a_plain_search(spark):
         assert r.hits == sorted({m.lower() for m in search.findall(r.text)})
 
 
+def test_pattern_of_many_keywords_is_made_quickly_and_holds_each(spark):
+    words = [f"{chr(0x4E00 + i % 3000)}{i}" for i in range(6_000)] + ["a" * n for n in range(1, 500)] + ["\u017ft", "[", "]^", "a-b", "k\\"]
+    start = time.perf_counter()
+    pattern = keyword_pattern(words)
+    assert time.perf_counter() - start < 1
+    texts = [f"x{w}x" if not w[0].isalnum() or not w[-1].isalnum() else f"({w})" for w in words]
+    got = values(spark, keyword_hits(F.col("t"), pattern), [(t,) for t in texts], "t string")
+    search = re.compile(r"\b(" + "|".join(re.escape(k) for k in clean_keywords(words)) + r")\b", re.I)
+    assert got == [sorted({m.lower() for m in search.findall(t)}) for t in texts]
+
+
+def test_every_case_variant_is_found(spark):
+    letters = [chr(c) for c in range(0x20, 0x1E944) if chr(c).isalpha() and chr(c).lower() != chr(c).upper()]
+    for c in ("s", "k", "\u00e5", "\u00b5", "\u03c3", "\u03b8", "i", "\u0131", "\u01c6", "\u1e61", "\U00010428", "q"):
+        found = values(spark, keyword_hits(F.col("t"), keyword_pattern([c])), [(x,) for x in letters], "t string")
+        same = {x for x, hits in zip(letters, found) if hits}
+        assert same == {x for x in letters if re.fullmatch(re.escape(c), x, re.I)}
+
+
 def test_tokens(spark):
     data = [(" Age  (years) x ",), ("Percentage",), (None,)]
     assert values(spark, tokens(F.col("t")), data, "t string") == [["age", "(years)", "x"], ["percentage"], None]

@@ -1,10 +1,13 @@
 import json
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from trialcohort.functions.fixed_values import CATEGORY_LABELS, ICD10_CHAPTERS, PIVOT_COLUMNS
+from trialcohort.functions.text import clean_keywords
 from trialcohort.operators import baseline, icd, joins, labels, paging, represent, sampling, study, text_flags
 
 MEASUREMENT = (
@@ -275,20 +278,22 @@ def test_trials_are_flagged_alike_whatever_the_pages(spark, size):
     searched = text_flags.all_texts(studies, **tables)
     assert rows(text_flags.trial_flags(studies, searched, keywords)) == expected
     if size == 1:
-        many = keywords + [f"unheard{i}" for i in range(text_flags.PATTERN_KEYWORDS)]
+        many = keywords + ["c++"] + [f"unheard{i}" for i in range(2_000)]
         assert rows(text_flags.trial_flags(studies, searched, many)) == expected
 
 
-def test_many_keywords_by_join_hit_as_the_pattern_does(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").selectExpr("doc_id", "'text' as field", "text")
-    extra = [(900, "text", "The of the. of, THE of"), (901, "text", None), (902, "text", ""), (903, "text", "é-the covid-19, covid")]
-    long = docs.union(spark.createDataFrame(extra, docs.schema))
-    keywords = ["the", "of the", "of, the of", "de la", "que", "covid-19", "covid", "19", "tion", "th"]
-    one = text_flags.text_hits(long, "doc_id", keywords)
-    many = text_flags.text_hits(long, "doc_id", keywords, most=3)
-    assert rows(one) == rows(many) and one.count() > 50
-    with pytest.raises(ValueError, match="start and end"):
-        text_flags.text_hits(long, "doc_id", ["-x", "a"], most=1)
+def test_many_keywords_hit_as_a_plain_search_does(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").selectExpr("doc_id", "'text' as field", "substring(text, 1, 500) as text")
+    extra = ["The of the. of, THE of", None, "", "é-the covid-19, covid", "use c++x, c++ and a-xb", "Kelvin \u212aelvin \u017ftore i\u0307"]
+    long = docs.union(spark.createDataFrame([(900 + i, "text", t) for i, t in enumerate(extra)], docs.schema))
+    words = sorted({w for r in docs.limit(40).collect() for w in r.text.lower().split() if w.isalnum()})
+    rng = random.Random(5)
+    keywords = ["the", "of the", "of, the of", "covid-19", "covid", "19", "c++", "-x", "kelvin", "store"]
+    keywords += [" ".join(rng.choices(words, k=rng.randrange(1, 4))) for _ in range(1_500)] + [f"{rng.choice(words)}{i}" for i in range(3_500)]
+    search = re.compile(r"\b(" + "|".join(re.escape(k) for k in clean_keywords(keywords)) + r")\b", re.I)
+    expected = [(i, "text", sorted({x.lower() for x in search.findall(t or "")})) for i, _, t in long.collect()]
+    found = rows(text_flags.text_hits(long, "doc_id", keywords))
+    assert found == sorted((r for r in expected if r[2]), key=repr) and len(found) > 50
 
 
 def test_flagged_device_without_keyword_in_its_name(spark):

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import sys
-from collections import defaultdict
 from collections.abc import Iterable, Sequence
-from functools import cache
+from itertools import groupby
+from os.path import commonprefix
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,6 +14,10 @@ from pyspark.sql import functions as F
 _WORD = r"[\p{L}\p{N}_]"
 _BOUNDARY = rf"(?:(?<={_WORD})(?!{_WORD})|(?<!{_WORD})(?={_WORD}))"
 
+FEW = 6  # alternatives that are tried one by one
+SEVERAL = 100  # characters that a class lists one by one
+DEEP = 200
+
 
 def clean_keywords(keywords: Iterable[str]) -> list[str]:
     """Lower-cased, stripped, distinct; longest first, so 'app store' wins over 'app'."""
@@ -26,46 +29,62 @@ def _is_word(c: str) -> bool:
     return c.isalnum() or c == "_"
 
 
-@cache
-def _by_case() -> tuple[dict[str, set[str]], dict[str, set[str]]]:
-    """All characters of Unicode by their lower and by their upper form."""
-    lower, upper = defaultdict(set), defaultdict(set)
-    for c in map(chr, range(sys.maxunicode + 1)):
-        lower[c.lower()].add(c)
-        upper[c.upper()].add(c)
-    return lower, upper
+def _folded(word: str) -> str:
+    """The word in the characters that all their case variants share, where that is one: s for the long s, k for Kelvin."""
+    pairs = ((c, c.upper().lower()) for c in word)
+    return "".join(f if len(f) == 1 else c for c, f in pairs)
 
 
-def _case_variants(c: str) -> set[str]:
-    """Every character that equals c when letter case is ignored, c included."""
-    lower, upper = _by_case()
-    return {c} | lower.get(c, set()) | upper.get(c.upper(), set())
+def _quoted(text: str) -> str:
+    return "".join(c if _is_word(c) else "\\" + c for c in text)
 
 
-def keyword_pattern(keywords: Iterable[str]) -> str:
-    """One case-insensitive alternation with word bounds; group 1 is the keyword.
+def _class(low: str, high: str) -> str:
+    """A character class of a range; what equals one of its characters in another letter case belongs to it."""
+    return f"[{_quoted(low)}-{_quoted(high)}]"
 
-    Where all keywords start and end in word characters, as they mostly do, a look at the first
-    character turns most places of a text down, and one-sided edges do for the bounds.
-    """
-    words = clean_keywords(keywords)
-    if not words:
-        raise ValueError("no keywords given")
-    any_word = "|".join("".join(c if _is_word(c) else "\\" + c for c in k) for k in words)
-    if not all(has_word_edges(k) for k in words):
-        return f"(?iu){_BOUNDARY}({any_word}){_BOUNDARY}"
-    first = "".join(sorted(set().union(*(_case_variants(c) for c in {k[0] for k in words}))))
-    return f"(?=[{first}])(?<!{_WORD})(?iu:({any_word}))(?!{_WORD})"
+
+def _choice(branches: list[tuple[str, str]]) -> str:
+    """One of the patterns, each with its first character, ascending; many are halved by that, so few are tried at any place."""
+    if len(branches) <= FEW:
+        return "|".join(pattern for _, pattern in branches)
+    half = len(branches) // 2
+    low, high = branches[:half], branches[half:]
+    return f"(?={_class(low[0][0], low[-1][0])})(?:{_choice(low)})|(?={_class(high[0][0], high[-1][0])})(?:{_choice(high)})"
 
 
-def has_word_edges(keyword: str) -> bool:
-    """True for a clean keyword whose first and last characters are word characters."""
-    return _is_word(keyword[0]) and _is_word(keyword[-1])
+def _trie(words: list[str], depth: int = 0) -> str:
+    """A pattern for any of the distinct words, ascending, that tries a longer word before each of its beginnings."""
+    rest = [w for w in words if w]
+    if not rest:
+        return ""
+    if depth == DEEP:  # patterns nest once for each keyword that another begins with
+        return "(?:" + "|".join(_quoted(w) for w in sorted(words, key=len, reverse=True)) + ")"
+    branches = []
+    for first, group in groupby(rest, key=lambda w: w[0]):
+        group = list(group)
+        shared = commonprefix([group[0], group[-1]])
+        branches.append((first, _quoted(shared) + _trie([w[len(shared) :] for w in group], depth + 1)))
+    if len(rest) < len(words):
+        return f"(?:{_choice(branches)})?"
+    return branches[0][1] if len(branches) == 1 else f"(?:{_choice(branches)})"
 
 
-def word_pieces(text: Column) -> Column:
-    """The lower-cased text cut into runs of word characters and runs of others, in order."""
-    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(rf"{_WORD}+|[^\p{{L}}\p{{N}}_]+"), F.lit(0))
+def keyword_pattern(keywords: Iterable[str]) -> str:
+    """One case-insensitive pattern for any number of keywords with word bounds; group 1 is the keyword, the longest at its place.
+
+    Keywords are merged by what they begin with, so the work at a place grows with the characters it shares with some
+    keyword, not with their number. Where all keywords start and end in word characters, as they mostly do, one-sided edges
+    do for the bounds. A look at the first character turns most places of a text down.
+    """
+    words = sorted(set(map(_folded, clean_keywords(keywords))))
+    if not words:
+        raise ValueError("no keywords given")
+    firsts = sorted({w[0] for w in words})
+    look = "".join(map(_quoted, firsts)) if len(firsts) <= SEVERAL else _class(firsts[0], firsts[-1])[1:-1]
+    plain = all(_is_word(w[0]) and _is_word(w[-1]) for w in words)
+    before, after = (f"(?<!{_WORD})", f"(?!{_WORD})") if plain else (_BOUNDARY, _BOUNDARY)
+    return f"(?iu)(?=[{look}]){before}({_trie(words)}){after}"
 
 
 def keyword_hits(text: Column, pattern: str) -> Column:
