@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trialcohort.sources.csv_records import numbered_lines, parsed, records
 from trialcohort.sources.schemas import SCHEMAS
 
 FETCH_ROWS = "10000"
@@ -33,16 +34,15 @@ def read_csv(spark: SparkSession, path: str, table: str, sep: str = ",") -> Data
     """A CSV file, or a folder of files, with a header; cells may hold line breaks and doubled quotes.
 
     Columns are taken by the header's names, so a table may have more columns or another order. All files of a folder
-    must have the same header: reading one that differs fails. A file with line breaks in cells is read by one task.
+    must have the same header: reading one that differs fails. Its lines are staged in the shared folder, one task for
+    each block of a file, since a block alone can't tell where its records begin; see csv_records.
     """
     return by_schema(raw_csv(spark, path, sep), table)
 
 
 def raw_csv(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    options = {"header": True, "sep": sep, "multiLine": True, "quote": '"', "escape": '"'}
-    names = spark.read.options(**options).csv(path).columns
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    return spark.read.options(**options, enforceSchema=False).schema(schema).csv(path)
+    names = spark.read.csv(path, header=True, sep=sep, multiLine=True, quote='"', escape='"').columns
+    return parsed(records(numbered_lines(spark, path)), names, sep)
 
 
 def read_tsv(spark: SparkSession, path: str, table: str) -> DataFrame:
