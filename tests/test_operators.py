@@ -1,3 +1,4 @@
+import hashlib
 import json
 import random
 import re
@@ -321,6 +322,15 @@ def test_sample(spark):
     assert sampling.sample_ids(df, "nct_id", 500).count() == 50
 
 
+@pytest.mark.parametrize("cell", [0, 1, 4])
+def test_sample_is_the_first_keys_by_md5_whatever_the_cells(spark, cell, monkeypatch):
+    monkeypatch.setattr(sampling, "CELL", cell)
+    df = spark.createDataFrame([(i % 300 or None,) for i in range(900)], "k long").repartition(5)
+    first = sorted((hashlib.md5(f"{i}|9".encode()).hexdigest(), i) for i in range(1, 300))
+    for n in (0, 1, 57, 298, 299, 1000):
+        assert rows(sampling.sample_ids(df, "k", n, 9)) == sorted(((i,) for _, i in first[:n]), key=repr)
+
+
 # ---- codes ---------------------------------------------------------------------------------------
 
 

@@ -36,5 +36,6 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_requests(requests: DataFrame, path: str) -> None:
-    """Request lines, one folder per category and chunk."""
-    requests.select("category", "chunk", "value").write.mode("overwrite").partitionBy("category", "chunk").text(path)
+    """Request lines, one folder with one file per category and chunk; chunks are spread over the tasks."""
+    rows = requests.select("category", "chunk", "value").repartition("category", "chunk")
+    rows.write.mode("overwrite").partitionBy("category", "chunk").text(path)
