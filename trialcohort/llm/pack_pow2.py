@@ -36,7 +36,7 @@ def cutting(vocabulary: str, end: int, leading_blank: bool, longest: int, with_i
         known = encoder(vocabulary, leading_blank)
         for batch in batches:
             for part in slices(batch):
-                ids, offsets = known.encode(part.column("text").to_pylist(), end)
+                ids, offsets = known.encode(part.column("text"), end)
                 sizes = np.diff(offsets)
                 lengths = [binary_lengths(n, longest) for n in sizes.tolist()]
                 doc = np.repeat(np.arange(len(sizes)), [len(x) for x in lengths])

@@ -10,11 +10,14 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Callable
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 
 MOST_PIECES, MOST_STEMS = 600_000, 400_000
 SPECIAL = "<|endoftext|>"  # a special token of both tokenizers; it parts the pieces of one call
@@ -22,6 +25,7 @@ AT_ONCE = 2_000
 # Latin letters but for the one whose lower case has a mark of its own, then marks
 STEM = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,!?;:]*)")
 RARE_SPACE = re.compile("[\\x09\\x0b-\\x0d\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
+SPACE_BYTES = bytes([9, 11, 12, 13, 28, 29, 30, 31, 0xC2, 0xE1, 0xE2, 0xE3])  # one of them is in each rare space
 ODD_BLANK = re.compile(r" (?=\s|$)|(?<=\s) |^ ")
 
 
@@ -33,7 +37,8 @@ def is_odd(text: str) -> bool:
     """Whether some blank doesn't stand between two solid characters; true for an empty text."""
     if not text or text[0] == " " or text[-1] == " " or "  " in text or " \n" in text or "\n " in text:
         return True
-    return bool(RARE_SPACE.search(text) and ODD_BLANK.search(text))
+    data = text.encode("utf-8", "surrogatepass")
+    return len(data.translate(None, SPACE_BYTES)) < len(data) and bool(RARE_SPACE.search(text) and ODD_BLANK.search(text))
 
 
 def byte_letters() -> list[str]:
@@ -43,19 +48,10 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(256 + other.index(b)) for b in range(256)]
 
 
-class Encoder:
-    """Encodes batches of texts. Up to about MOST_PIECES pieces are remembered, then those used only once are forgotten."""
-
-    def __init__(self, path: str, leading_blank: bool):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+class Memory:
+    """Pieces and their ids. `starts` has one number more than there are pieces."""
 
-        self.tokenizer, self.blank = Tokenizer.from_file(path), " " if leading_blank else ""
-        self.special = self.tokenizer.token_to_id(SPECIAL)
-        # a tokenizer for pieces without a leading blank is one that lower-cases
-        self.lower, self.letters = not leading_blank, byte_letters()
-        self.stems: dict[str, tuple[int, ...]] = {}
-        self.marks: dict[str, tuple[int, ...]] = {"": ()}
+    def __init__(self) -> None:
         self.clear()
 
     def clear(self) -> None:
@@ -63,24 +59,65 @@ class Encoder:
         self.starts, self.ids, self.uses = np.zeros(1, np.int64), np.empty(0, np.uint32), np.zeros(0, np.int64)
 
     def forget(self) -> None:
+        """Forgets what was used once, or all if that is little."""
         keep = self.uses > 1
-        keep &= keep.mean() <= 0.5  # else all go
+        keep &= keep.mean() <= 0.5
         size = np.diff(self.starts)
         self.ids = self.ids[np.repeat(keep, size)]
         self.starts = np.concatenate([[0], np.cumsum(size[keep])])
         self.place = {x: i for i, x in enumerate(x for x, k in zip(self.place, keep.tolist(), strict=True) if k)}
         self.uses = np.zeros(len(self.place), np.int64)
 
+    def add(self, pieces: list[str], found: list[tuple[int, ...]]) -> None:
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        n = len(self.place)
+        self.place.update(zip(pieces, range(n, n + len(pieces)), strict=True))
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))])
+        self.uses = np.concatenate([self.uses, np.zeros(len(pieces), np.int64)])
+
+    def places(self, pieces: list[str], times: np.ndarray, learn: Callable[[list[str]], list[tuple[int, ...]]]) -> np.ndarray:
+        """The place of each of the distinct pieces, new ones learnt first; `times` counts their uses."""
+        if len(self.place) > MOST_PIECES:
+            self.forget()
+        new = [x for x in pieces if x not in self.place]
+        if new:
+            self.add(new, learn(new))
+        at = np.fromiter(map(self.place.__getitem__, pieces), np.int64, len(pieces))
+        self.uses[at] += times
+        return at
+
+
+class Encoder:
+    """Encodes batches of texts. Up to about MOST_PIECES pieces are remembered, then those used only once are forgotten.
+
+    Arrow cuts the texts at blanks and finds the distinct pieces of a batch, so Python sees each of them once.
+    """
+
+    def __init__(self, path: str, leading_blank: bool):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer, self.blank = Tokenizer.from_file(path), " " if leading_blank else ""
+        self.special = self.tokenizer.token_to_id(SPECIAL)
+        # a tokenizer for pieces without a leading blank is one that lower-cases
+        self.lower, self.letters = not leading_blank, byte_letters()
+        self.stems: dict[str, tuple[int, ...]] = {}
+        self.marks: dict[str, tuple[int, ...]] = {"": ()}
+        self.memory, self.first = Memory(), Memory()  # pieces behind a blank, and those that begin a text
+
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def stem_ids(self, stem: str) -> tuple[int, ...]:
         found = self.stems.get(stem)
         if found is None:
-            text = stem.lower() if self.lower else self.blank + stem
-            if not text.isascii() or self.blank:
+            text = stem.lower() if self.lower else stem
+            if not text.isascii():
                 text = "".join(map(self.letters.__getitem__, text.encode()))
-            found = self.stems[stem] = tuple(x.id for x in self.tokenizer.model.tokenize(text))
+            if self.blank:
+                text = self.letters[0x20] + text
+            found = self.stems[stem] = tuple([x.id for x in self.tokenizer.model.tokenize(text)])
         return found
 
     def mark_ids(self, marks: str) -> tuple[int, ...]:
@@ -92,7 +129,8 @@ class Encoder:
             return ids
         return found
 
-    def learn(self, pieces: list[str]) -> None:
+    def learn(self, pieces: list[str]) -> list[tuple[int, ...]]:
+        """The ids of pieces behind a blank."""
         if len(self.stems) > MOST_STEMS:
             self.stems.clear()
         found: list[tuple[int, ...]] = [()] * len(pieces)
@@ -113,45 +151,56 @@ class Encoder:
                 found[i] = tuple(part[part != self.special].tolist())
         for i, ids in zip(other, self.whole([self.blank + pieces[i] for i in other]), strict=True):
             found[i] = tuple(ids)
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        n = len(self.place)
-        self.place.update(zip(pieces, range(n, n + len(pieces)), strict=True))
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
-        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))])
-        self.uses = np.concatenate([self.uses, np.zeros(len(pieces), np.int64)])
+        return found
 
-    def encode(self, texts: list[str | None], end: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in a row, `end` after each, and the offsets of each text's ids. Null is an empty text."""
-        texts = [x or "" for x in texts]
-        odd = [i for i, x in enumerate(texts) if is_odd(x)]
-        plain = sorted(set(range(len(texts))) - set(odd))
-        # a text's first piece has no blank before it, and is one of the pieces encoded without memory
-        heads, tails = [], []
-        for i in plain:
-            head, *tail = texts[i].split(" ")
-            heads.append(head)
-            tails.append(tail)
-        if len(self.place) > MOST_PIECES:
-            self.forget()
-        unknown = list(dict.fromkeys(chain.from_iterable(tails)).keys() - self.place.keys())
-        if unknown:
-            self.learn(unknown)
-        out: list[np.ndarray] = [np.empty(0, np.uint32)] * len(texts)
-        for i, ids in zip(odd + plain, self.whole([texts[i] for i in odd] + heads), strict=True):
-            out[i] = np.array(ids, np.uint32)
-        index = np.fromiter(map(self.place.__getitem__, chain.from_iterable(tails)), np.int64, sum(map(len, tails)))
-        self.uses += np.bincount(index, minlength=len(self.uses))
-        begin, size = self.starts[index], self.starts[index + 1] - self.starts[index]
+    def learn_first(self, pieces: list[str]) -> list[tuple[int, ...]]:
+        """The ids of pieces that begin a text."""
+        return list(map(tuple, self.whole(pieces)))
+
+    def plain(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """As encode(), for texts whose blanks all stand between solid characters."""
+        cut = pc.split_pattern(texts, " ")
+        offsets = np.asarray(cut.offsets).astype(np.int64)
+        offsets -= offsets[0]
+        coded = cut.flatten().dictionary_encode()
+        index, pieces = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        behind = np.ones(len(index), bool)
+        if self.blank:
+            behind[offsets[:-1]] = False
+        begin, size, stores = np.empty(len(index), np.int64), np.empty(len(index), np.int64), []
+        for memory, learn, chosen in ((self.memory, self.learn, behind), (self.first, self.learn_first, ~behind)):
+            times = np.bincount(index[chosen], minlength=len(pieces))
+            used = np.flatnonzero(times)
+            place = np.zeros(len(pieces), np.int64)
+            place[used] = memory.places([pieces[i] for i in used.tolist()], times[used], learn)
+            at = place[index[chosen]]
+            begin[chosen] = memory.starts[at] + sum(map(len, stores))
+            size[chosen] = memory.starts[at + 1] - memory.starts[at]
+            stores.append(memory.ids)
+        ids = np.concatenate([*stores, np.array([end], np.uint32)])
+        # an end after the last piece of each text
+        at = np.arange(len(index)) + np.repeat(np.arange(len(texts)), np.diff(offsets))
+        with_end = np.full(len(index) + len(texts), len(ids) - 1), np.ones(len(index) + len(texts), np.int64)
+        with_end[0][at], with_end[1][at] = begin, size
+        begin, size = with_end
         ends = np.cumsum(size)
-        flat = self.ids[np.repeat(begin - (ends - size), size) + np.arange(int(size.sum()))]
-        cuts = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(list(map(len, tails)))]).astype(np.int64)]
-        stop = np.array([end], np.uint32)
-        for n, i in enumerate(plain):
-            out[i] = np.concatenate([out[i], flat[cuts[n] : cuts[n + 1]], stop])
-        for i in odd:
-            out[i] = np.concatenate([out[i], stop])
-        sizes = np.fromiter(map(len, out), np.int64, len(out))
-        return np.concatenate([*out, np.empty(0, np.uint32)]), np.concatenate([[0], np.cumsum(sizes)])
+        flat = ids[np.repeat(begin - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        return flat, np.concatenate([[0], ends])[offsets + np.arange(len(offsets))]
+
+    def encode(self, texts: pa.Array | list[str | None], end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, `end` after each, and the offsets of each text's ids. Null is an empty text."""
+        texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
+        texts = texts.fill_null("")
+        odd = [i for i, x in enumerate(texts.to_pylist()) if is_odd(x)]
+        if not odd:
+            return self.plain(texts, end)
+        regular = np.setdiff1d(np.arange(len(texts)), odd)
+        flat, cuts = self.plain(texts.take(pa.array(regular)), end)
+        out = dict(zip(regular.tolist(), np.split(flat, cuts[1:-1]), strict=False)) if len(regular) else {}
+        for i, ids in zip(odd, self.whole(texts.take(pa.array(odd)).to_pylist()), strict=True):
+            out[i] = np.array([*ids, end], np.uint32)
+        parts = [out[i] for i in range(len(texts))]
+        return np.concatenate(parts), np.concatenate([[0], np.cumsum(list(map(len, parts)))])
 
 
 @lru_cache(maxsize=2)
