@@ -19,6 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from trialcohort.llm.common import stage
 from trialcohort.llm.textarrays import slices
 from trialcohort.llm.tokenizing import encoder
 
@@ -33,7 +34,7 @@ def encoding(vocabulary: str, end: int, leading_blank: bool) -> Callable[[Iterat
         known, part, done = encoder(vocabulary, leading_blank), TaskContext.get().partitionId(), 0
         for batch in batches:
             for piece in slices(batch):
-                ids, offsets = known.encode(piece.column("text").to_pylist(), end)
+                ids, offsets = known.encode(piece.column("text"), end)
                 n = piece.num_rows
                 yield pa.record_batch(
                     {
@@ -89,8 +90,9 @@ def token_index(spark: SparkSession, path: str) -> DataFrame:
     """Per document of the files: doc_id, start (ids of all documents before it), n_tokens, ids_crc32.
 
     Ids are counted within each file, then the files' totals are added up; only those few totals meet in one task.
+    The files are read once: what both steps need is staged.
     """
-    rows = read_tokens(spark, path).mapInArrow(sums, "part int, ordinal long, doc_id long, n_tokens long, ids_crc32 long")
+    rows = stage(read_tokens(spark, path).mapInArrow(sums, "part int, ordinal long, doc_id long, n_tokens long, ids_crc32 long"), "index")
     inside = F.sum("n_tokens").over(Window.partitionBy("part").orderBy("ordinal")) - F.col("n_tokens")
     files = rows.groupBy("part").agg(F.sum("n_tokens").alias("total"))
     before = F.sum("total").over(Window.orderBy("part")) - F.col("total")
