@@ -10,6 +10,7 @@ from trialcohort.llm import (
     circulant_minhash,
     decontaminate_prefix,
     line_windows,
+    linking,
     pack_pow2,
     ppm_scoring,
     quality_divergence,
@@ -295,7 +296,7 @@ def test_components(spark):
 
 @pytest.mark.parametrize("seed, block", [(1, 256), (2, 8)])
 def test_near_duplicates(make, odd, seed, block, monkeypatch):
-    monkeypatch.setattr(circulant_minhash, "BLOCK_ROWS", block)
+    monkeypatch.setattr(linking, "BLOCK_ROWS", block)
     data = (odd if seed == 1 else []) + copies(seed, 250)
     same(circulant_minhash.near_duplicate_digest(make(data, extra=seed == 1)), brute.near(data)[0])
 
@@ -308,7 +309,7 @@ def test_near_duplicates_of_real_texts(make, odd, real):
 def test_every_query_reads_the_tables_of_its_folder(spark):
     from trialcohort.llm.queries import oracle_sql, queries
 
-    assert [int(k[2:].split("_")[0]) for k in queries()] == list(range(1, 11))
+    assert [int(k[2:].split("_")[0]) for k in queries()] == list(range(1, 14))
     assert set(oracle_sql()) <= set(queries())
     for name in ("op5_secret_entropy", "op8_power_of_two_packing"):
         assert queries()[name](spark, FOLDER).select("doc_id").distinct().count() == 200

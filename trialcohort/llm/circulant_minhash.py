@@ -7,10 +7,7 @@ the least number it reaches. Coordinates are cut into BANDS bands of ROWS; with
 share no band once in twenty million pairs.
 
 Documents with equal sets form one class, so copies cost one row each and are linked by their set. Classes that share a
-band are compared with the least class of that band, exactly, on their full sets; what is linked then forms components.
-Classes in bands that still hold more than one component are compared in blocks: whatever is joined by such bands is cut
-into blocks of bounded size, every two blocks meet in a task, and a matrix product over shingles gives all intersections at
-once. So no link between any two candidates is lost, and only links, not pairs, leave a task.
+band are candidates; `linking` confirms their links on full sets and joins what is linked to components.
 
 A document without words or with a null text has an empty set, linked with nothing. Rows equal in doc_id and text are
 linked like any copies. A null doc_id takes part in links but names no component unless nothing else can; it is kept only
@@ -29,31 +26,11 @@ from pyspark.sql import functions as F
 
 from trialcohort.llm import textarrays as T
 from trialcohort.llm.common import row_key, stage
-from trialcohort.llm.components import connected_components
+from trialcohort.llm.linking import linked_roots, shingle_sets, with_roots
 
 SHINGLE = 5
 BANDS, ROWS = 32, 4
 PERCENT = 80
-BLOCK_ROWS, BLOCK_BYTES = 256, 8 << 20
-COLUMNS = 8_192  # shingles of one matrix product
-
-
-def shingle_sets(text: T.Words, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """The hashes of each text's set, ascending, and where each text's begin."""
-    n = len(text.counts)
-    at, names = text.windows(shingle, salt=shingle)
-    doc = text.doc[at]
-    for k in range(1, shingle):
-        short = np.flatnonzero(text.counts == k)
-        if len(short):
-            at, found = text.windows(k, salt=k)
-            mine = np.isin(text.doc[at], short)
-            names, doc = np.concatenate([names, found[mine]]), np.concatenate([doc, text.doc[at][mine]])
-    order = np.lexsort((names, doc))
-    names, doc = names[order], doc[order]
-    new = np.append(True, (names[1:] != names[:-1]) | (doc[1:] != doc[:-1]))[: len(names)]
-    names, doc = names[new], doc[new]
-    return names, np.searchsorted(doc, np.arange(n + 1))
 
 
 def second(x: np.ndarray) -> np.ndarray:
@@ -106,87 +83,6 @@ def signing(shingle: int, bands: int, rows: int) -> Callable[[Iterator[pa.Record
     return run
 
 
-def verifying(shingle: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Of rows (a, b, text_a, text_b) those whose sets are similar enough: (a, b)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple[str | None, np.ndarray] = (None, np.empty(0, np.uint64))
-        for batch in batches:
-            for part in T.slices(batch, "text_a"):
-                names, begin = shingle_sets(T.of(part, T.SOLID, True, "text_a"), shingle)
-                good = []
-                for i, other in enumerate(part.column("text_b")):
-                    other = other.as_py()
-                    if other != last[0]:  # rows of one center mostly follow each other
-                        alone = pa.record_batch({"text": pa.array([other], pa.string())})
-                        last = other, shingle_sets(T.of(alone, T.SOLID, True), shingle)[0]
-                    own = names[begin[i] : begin[i + 1]]
-                    both = len(np.intersect1d(own, last[1], assume_unique=True))
-                    good.append(100 * both >= percent * (len(own) + len(last[1]) - both) > 0)
-                yield pa.record_batch({"a": part.column("a"), "b": part.column("b")}).filter(pa.array(good, pa.bool_()))
-
-    return run
-
-
-def verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of class numbers that are links. texts: (cid, text)."""
-    one = texts.select(F.col("cid").alias("a"), F.col("text").alias("text_a"))
-    two = texts.select(F.col("cid").alias("b"), F.col("text").alias("text_b"))
-    rows = pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
-    return rows.mapInArrow(verifying(shingle, percent), "a long, b long")
-
-
-def crossing(shingle: int, percent: int) -> Callable[[pa.Table], pa.Table]:
-    """Links (a, b) between rows (cid, root, text, block) of two blocks with different roots, or within one block."""
-
-    def run(rows: pa.Table) -> pa.Table:
-        root, cid, block = (rows.column(x).to_numpy() for x in ("root", "cid", "block"))
-        sets = []
-        for batch in rows.select(["text"]).combine_chunks().to_batches():
-            for part in T.slices(batch):
-                names, begin = shingle_sets(T.of(part, T.SOLID, True), shingle)
-                sets += [names[a:b] for a, b in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True)]
-        size = np.array([len(x) for x in sets])
-        row = np.repeat(np.arange(len(sets)), size)
-        _, token, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-        seen = times[token] > 1  # other shingles are in no intersection
-        place = np.cumsum(times > 1) - 1
-        row, token = row[seen], place[token[seen]]
-        order = np.argsort(token, kind="stable")
-        row, token = row[order], token[order]
-        both = np.zeros((len(sets), len(sets)), np.float32)
-        for start in range(0, int(token[-1]) + 1 if len(token) else 0, COLUMNS):
-            a, b = np.searchsorted(token, (start, start + COLUMNS))
-            held = np.zeros((len(sets), COLUMNS), np.float32)
-            held[row[a:b], token[a:b] - start] = 1
-            both += held @ held.T
-        union = size[:, None] + size[None, :] - both
-        linked = (100 * both >= percent * union) & (root[:, None] != root[None, :])
-        if block.min() != block.max():
-            linked &= block[:, None] != block[None, :]
-        x, y = np.nonzero(np.triu(linked, 1))
-        return pa.table({"a": cid[x], "b": cid[y]})
-
-    return run
-
-
-def between_components(placed: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Links (a, b) between classes of different roots among rows (cid, center, root) of bands that hold several.
-
-    What such bands connect is cut into blocks of about BLOCK_ROWS classes and BLOCK_BYTES of text, and every two blocks are
-    a group of bounded size; a class is repeated once for each block.
-    """
-    whole = connected_components(placed.select(F.col("cid").alias("a"), F.col("center").alias("b")))
-    members = placed.select("cid", "root").distinct().join(whole.select(F.col("node").alias("cid"), F.col("root").alias("whole")), "cid")
-    members = stage(members.join(texts.dropDuplicates(["cid"]), "cid"), "members")
-    parts = F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum(F.octet_length("text")) / BLOCK_BYTES)).cast("int")
-    sizes = members.groupBy("whole").agg(parts.alias("parts"))
-    rows = members.join(sizes, "whole").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    rows = rows.select("whole", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "cid", "root", "text", "block")
-    return rows.groupBy("whole", "low", "high").applyInArrow(crossing(shingle, percent), "a long, b long")
-
-
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Per row of docs: k1, k2 (its key), doc_id, n_shingles, group_id (null: empty set), component_id (the least doc_id that links reach, its own included), kept.
 
@@ -199,29 +95,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     classes = full.groupBy("cls").agg(F.min("doc_id").alias("id"), F.min(F.struct("k1", "k2")).alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"))
     classes = stage(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
     members = classes.select("cid", "n", F.explode("keys").alias("key"))
-    band = members.groupBy("key").agg(F.min(F.struct("cid", "n")).alias("center"), F.count("*").alias("members")).filter("members > 1").drop("members")
-    shared = stage(members.join(band, "key"), "bands")
-    fits = lambda x, y: (100 * F.least(x, y) >= percent * F.greatest(x, y))  # noqa: E731  the smaller set must reach the threshold alone
-    star = shared.filter((F.col("cid") != F.col("center.cid")) & fits(F.col("n"), F.col("center.n")))
-    star = star.select(F.col("cid").alias("a"), F.col("center.cid").alias("b")).distinct()
-    wanted = shared.select("cid").distinct().join(classes.select("cid", "rep.k1", "rep.k2"), "cid")
-    texts = stage(keyed.select("k1", "k2", "text").join(wanted.hint("merge"), ["k1", "k2"]).select("cid", "text"), "texts")
-    links = stage(verified(star, texts, shingle, percent), "links")
-    roots = connected_components(links)
-
-    def named(frame: DataFrame, roots: DataFrame) -> DataFrame:
-        return frame.join(roots.select(F.col("node").alias("cid"), "root"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-
-    # bands with more than one component left
-    placed = named(shared.select("key", "cid", F.col("center.cid").alias("center")), roots)
-    mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("key")
-    placed = stage(placed.join(mixed, "key").select("cid", "center", "root").distinct(), "mixed")
-    if not placed.isEmpty():
-        more = between_components(placed, texts, shingle, percent)
-        links = stage(links.unionByName(more), "links")
-        roots = connected_components(links)
-    roots = stage(named(classes.select("cid", "cls", "id"), roots), "roots")
-    names = roots.groupBy("root").agg(F.min("id").alias("component_id"))
+    roots = linked_roots(members, classes.select("cid", "rep.k1", "rep.k2"), keyed.select("k1", "k2", "text"), shingle, percent)
+    roots = stage(with_roots(classes.select("cid", "cls", "id"), roots), "roots")
+    names = stage(roots.groupBy("root").agg(F.min("id").alias("component_id")), "names")
     of = roots.join(names, "root").select("cls", F.col("root").alias("group_id"), "component_id")
     out = signed.drop("keys").join(of, "cls", "left")
     component = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))

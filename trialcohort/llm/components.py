@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trialcohort.llm.common import stage
+from trialcohort.operators.joins import fresh_join
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -19,10 +20,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     while True:
         both = now.unionByName(now.select(F.col("u").alias("v"), F.col("v").alias("u")))
         least = both.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("m"))
-        large = both.filter("u > v").join(least, "v").select(F.col("u").alias("v"), F.col("m").alias("u")).filter("u != v").distinct()
+        large = fresh_join(both.filter("u > v"), least, ["v"]).select(F.col("u").alias("v"), F.col("m").alias("u")).filter("u != v").distinct()
         large = stage(large, "large")
         below = large.groupBy("v").agg(F.min("u").alias("m"))
-        small = large.join(below, "v")
+        small = fresh_join(large, below, ["v"])
         small = small.select("v", F.col("m").alias("u")).unionByName(small.filter("u != m").select(F.col("u").alias("v"), F.col("m").alias("u"))).distinct()
         then = stage(small, "small")
         # done when each node hangs on one root, and no root hangs on another

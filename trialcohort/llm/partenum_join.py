@@ -28,9 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trialcohort.llm import textarrays as T
-from trialcohort.llm.circulant_minhash import shingle_sets
 from trialcohort.llm.common import row_key, stage
-from trialcohort.llm.linking import linked_roots
+from trialcohort.llm.linking import linked_roots, shingle_sets
 
 SHINGLE, PERCENT = 3, 90
 PIECES = 3  # second-level pieces of a part, where sets may differ at all
