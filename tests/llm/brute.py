@@ -98,7 +98,7 @@ def ppm(docs, order):
     return out, cost
 
 
-def secrets(docs, candidate, allowed, limits, kinds):
+def secrets(docs, candidate, runs, words, limits, kinds):
     patterns = [
         re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""),
         re.compile("AKIA[A-Z0-9]+"),
@@ -109,10 +109,12 @@ def secrets(docs, candidate, allowed, limits, kinds):
         return -sum(c / len(w) * math.log2(c / len(w)) for c in Counter(w).values())
 
     def random(x):
-        if not (re.search("[0-9]", x) and re.search("[A-Za-z]", x)) or any(re.search(p, x) for p in allowed):
+        if not (re.search("[0-9]", x) and re.search("[A-Za-z]", x)) or any(re.search(p, x) for p in runs):
             return False
         limit = limits[0] if re.fullmatch("[0-9a-f]+|[0-9A-F]+", x) else limits[1]
-        return max(entropy(x[i : i + 20]) for i in range(len(x) - 19)) >= limit - 1e-9
+        hidden = {k for m in re.finditer(words, x) for k in range(*m.span())}
+        clear = [x[i : i + 20] for i in range(len(x) - 19) if not hidden & set(range(i, i + 20))]
+        return max(map(entropy, clear), default=0) >= limit - 1e-9
 
     def joined(spans):
         return ",".join(f"{kinds[k]}:{a}:{b}" for a, k, b in spans)
