@@ -8,13 +8,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
+from trialcohort.sources.shared import shared_dir
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or where that is unset one in the warehouse."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    return found or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staged"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
