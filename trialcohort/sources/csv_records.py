@@ -79,7 +79,7 @@ def records(lines: DataFrame) -> DataFrame:
     first = (F.col("start") == F.col("at.start")) & (F.col("place") == F.col("at.place"))
     whole = placed.filter(~inside & ~F.col("odd")).select(F.col("value").alias("record"), first.alias("first"))
     longer = placed.filter(inside | F.col("odd")).groupBy("path", F.expr("seen div 2").alias("number"))
-    parts = longer.agg(F.array_sort(F.collect_list(F.struct("start", "place", "value"))).alias("parts"), F.max(first).alias("first"))
+    parts = longer.agg(F.sort_array(F.collect_list(F.struct("start", "place", "value"))).alias("parts"), F.max(first).alias("first"))
     rows = whole.unionByName(parts.select(F.array_join("parts.value", "\n").alias("record"), "first"))
     return rows.withColumn("record", F.regexp_replace("record", r"\r\z", "")).filter("record != ''")
 
