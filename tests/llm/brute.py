@@ -215,3 +215,81 @@ def binary_pieces(ids, longest=1024):
         out.append((start, n, zlib.crc32(b"".join(x.to_bytes(4, "little") for x in ids[start : start + n]))))
         start += n
     return out
+
+
+def divergence(docs, min_docs=20, common=50):
+    """(doc_id, class distance, word distance, kept) of rows (doc_id, text, lang); words tied at the last place aren't told apart."""
+
+    def kind(c):
+        if ord(c) > 127:
+            return 6
+        for k, group in enumerate(("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", " \t\n\r\x0b\x0c", ".,:;!?'\"()-")):
+            if c in group:
+                return k
+        return 5
+
+    def shares(counts, keys):
+        whole = sum(counts[k] for k in keys)
+        return [counts[k] / whole if whole else 0.0 for k in keys]
+
+    def js(p, q):
+        if not sum(p):
+            return 0.0
+        half = [(a + b) / 2 for a, b in zip(p, q)]
+        to = lambda x: sum(a * math.log2(a / m) for a, m in zip(x, half) if a)
+        return math.sqrt(max((to(p) + to(q)) / 2, 0))
+
+    judged, words = defaultdict(list), defaultdict(Counter)
+    for _, text, lang in docs:
+        kinds = Counter(map(kind, text or ""))
+        if kinds.total() >= 200:
+            judged[lang].append(shares(kinds, range(7)))
+        words[lang].update(ALNUM.findall(lower(text)))
+    out = []
+    for doc, text, lang in docs:
+        kinds, mine = Counter(map(kind, text or "")), Counter(ALNUM.findall(lower(text)))
+        by_class = by_word = 0.0
+        if len(judged[lang]) >= min_docs:
+            middle = [sorted(x)[(len(x) + 1) // 2 - 1] for x in zip(*judged[lang])]
+            if kinds.total() >= 200:
+                by_class = js(shares(kinds, range(7)), [x / sum(middle) for x in middle])
+            top = [w for w, _ in words[lang].most_common(common)]
+            rest = lambda c: {**{w: c[w] for w in top}, None: c.total() - sum(c[w] for w in top)}
+            if mine.total() >= 100:
+                by_word = js(shares(rest(mine), [*top, None]), shares(rest(words[lang]), [*top, None]))
+        limit = 0.20 * math.sqrt(1000 / min(max(kinds.total(), 1), 1000))
+        out.append((doc, by_class, by_word, not base_rules(text)[5] and by_class <= limit and by_word <= 0.42))
+    return out
+
+
+def toxicity(docs, labels, orders=(4, 5, 6), seen_in=3, penalty=1.0, steps=300):
+    """Score of each document by a model of all labelled ones; n-grams of bytes that many texts hold, each counted once a text."""
+
+    def grams(text):
+        stream = b"".join(b" " + w.encode() for w in SOLID.findall(lower(text)))
+        return {stream[i : i + n] for n in orders for i in range(len(stream) - n + 1)}
+
+    known = dict(labels)
+    texts = [(grams(text), known[doc]) for doc, text in docs if doc in known]
+    count = [Counter(), Counter()]
+    for found, y in texts:
+        count[y].update(found)
+    sizes = [sum(y == k for _, y in texts) for k in (0, 1)]
+    ratio = {}
+    for g in count[0] | count[1]:
+        if count[0][g] + count[1][g] >= seen_in:
+            ratio[g] = math.log((count[1][g] + 1) / (sizes[1] + 2)) - math.log((count[0][g] + 1) / (sizes[0] + 2))
+    rows = [({g: ratio[g] for g in found if g in ratio}, y) for found, y in texts]
+    rate = 1 / (0.25 * (max(1.0, max(sum(v * v for v in x.values()) for x, _ in rows) + 1)) + penalty / len(rows))
+    x, ahead = defaultdict(float), defaultdict(float)
+    for k in range(steps):
+        slope = defaultdict(float, {g: penalty / len(rows) * ahead[g] for g in ratio})
+        for values, y in rows:
+            margin = sum(v * ahead[g] for g, v in values.items()) + ahead[None]
+            wrong = 0.5 / sizes[y] * (1 / (1 + math.exp(-margin)) - y)
+            slope[None] += wrong
+            for g, v in values.items():
+                slope[g] += v * wrong
+        before, x = x, defaultdict(float, {g: ahead[g] - rate * s for g, s in slope.items()})
+        ahead = defaultdict(float, {g: v + k / (k + 3) * (v - before[g]) for g, v in x.items()})
+    return [(doc, 1 / (1 + math.exp(-sum(x[g] * ratio[g] for g in grams(text) if g in ratio) - x[None]))) for doc, text in docs]
