@@ -1,6 +1,7 @@
 """Line dedup by overlapping windows of three lines.
 
-A text is cut into lines at each newline. Every three consecutive lines are a window, hashed to 128 bits; a window found
+A text is cut into lines at each newline. Every three consecutive lines are a window, known by two 64-bit hashes, each made
+of another hash of every line, so lines that one hash takes for equal are told apart by the other; a window found
 more than once in all documents stays where it comes first, by (doc_id, a hash of the text, place), and each later
 occurrence loses its lines. Later occurrences that overlap are merged: a line goes if any of them covers it. Windows of
 blank lines alone don't count.
@@ -22,13 +23,14 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from trialcohort.llm import textarrays as T
 from trialcohort.llm.common import row_key, stage
+from trialcohort.operators.joins import fresh
 
 LINES = 3
 OWN = ("n_lines", "n_removed", "_k1", "_k2", "_places")
 
 
-def line_names(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For each line: its text's index, its place, its hash, and whether it is blank."""
+def line_names(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray], np.ndarray]:
+    """For each line: its text's index, its place, its two hashes, and whether it is blank."""
     n = len(offsets) - 1
     cut = np.flatnonzero(data == 0x0A)
     doc = np.concatenate([np.arange(n), np.searchsorted(offsets[1:], cut, side="right")])
@@ -40,7 +42,7 @@ def line_names(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     ends[closes] = offsets[1:][doc[closes]]
     solid = np.concatenate([[0], np.cumsum(T.SOLID[data], dtype=np.int64)])
     first = np.searchsorted(doc, np.arange(n))
-    return doc, np.arange(len(doc)) - first[doc], T.hashes(data, starts, ends), solid[ends] == solid[starts]
+    return doc, np.arange(len(doc)) - first[doc], (T.hashes(data, starts, ends), T.second_hashes(data, starts, ends)), solid[ends] == solid[starts]
 
 
 def line_windows(lines: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -48,8 +50,8 @@ def line_windows(lines: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
         for batch in batches:
             for part in T.slices(batch):
                 doc, place, names, blank = line_names(*T.raw(part.column("text")))
-                at, one = T.windows(T.mixed(names, 1), doc, lines)
-                _, two = T.windows(T.mixed(names, 2), doc, lines)
+                at, one = T.windows(T.mixed(names[0], 1), doc, lines)
+                _, two = T.windows(T.mixed(names[1], 2), doc, lines)
                 solid = np.zeros(len(at), bool)
                 for k in range(lines):
                     solid |= ~blank[at + k]
@@ -92,11 +94,13 @@ def repeated_line_windows(docs: DataFrame, lines: int = LINES) -> DataFrame:
     """Rows (k1, k2, at), each once: later occurrences of windows.
 
     The first place and the number of occurrences are combined before the shuffle, so a window that a third of all
-    documents holds is a few rows; the join back meets one row a window, and adaptive execution may split its many places.
+    documents holds is a few rows; the join back meets one row a window, shuffled anew so that adaptive execution can
+    split a window's many places.
     """
     rows = stage(docs.select(*row_key(), "text").mapInArrow(line_windows(lines), "h1 long, h2 long, k1 long, k2 long, at int"), "lines")
     place = F.struct("k1", "k2", "at")
     repeated = rows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first != last").drop("last")
+    repeated = repeated.withColumn("h1", fresh(F.col("h1")))
     return rows.join(repeated, ["h1", "h2"]).filter(place != F.col("first")).select("k1", "k2", "at")
 
 

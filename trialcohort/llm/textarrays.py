@@ -2,6 +2,9 @@
 
 A hash of bytes b_i is the sum of (b_i + 1) * B**i modulo 2**64 with an odd B, so that prefix sums give the hash of any
 stretch; it is mixed before use. Stretches over LONG bytes are hashed one by one.
+
+Where equal hashes stand for equal words without a look at the words, a second hash goes with the first: sums modulo two
+primes, which share no structure with sums modulo 2**64.
 """
 
 from __future__ import annotations
@@ -9,6 +12,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +20,7 @@ import pyarrow as pa
 BLOCK = 1 << 20
 LONG = 512
 BASE = 0x9E3779B97F4A7C15
+FIELDS = ((2**31 - 1, 1_103_515_245), (2**31 - 19, 1_664_525_017))  # primes and bases of the second hash
 U = np.uint64
 
 
@@ -77,6 +82,39 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     return mixed(out)
 
 
+@cache
+def field_powers(base: int, prime: int) -> np.ndarray:
+    """base**0, base**1, ... modulo a prime below 2**31, as many as a block needs."""
+    n, have = BLOCK + LONG + 1, 1
+    out = np.ones(n, U)
+    while have < n:
+        step = min(have, n - have)
+        out[have : have + step] = out[:step] * U(pow(base, have, prime)) % U(prime)
+        have += step
+    return out
+
+
+def second_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Like `hashes`, by sums of (byte + 1) * base**i modulo two primes. A block's sum stays below 2**60."""
+    out = np.zeros(len(starts), U)
+    for prime, base in FIELDS:
+        power, back = field_powers(base, prime), field_powers(pow(base, -1, prime), prime)
+        i = 0
+        while i < len(starts):
+            j = int(np.searchsorted(starts, starts[i] + BLOCK))
+            a = int(starts[i])
+            b = int(min(ends[j - 1], a + BLOCK + LONG))
+            sums = np.zeros(b - a + 1, U)
+            np.cumsum((data[a:b].astype(U) + U(1)) * power[: b - a], out=sums[1:])
+            s, e = starts[i:j] - a, np.minimum(ends[i:j] - a, b - a)
+            out[i:j] = (out[i:j] << U(31)) | ((sums[e] - sums[s]) % U(prime) * back[s] % U(prime))
+            i = j
+    for k in np.flatnonzero(ends - starts > LONG):
+        digest = hashlib.blake2b(data[starts[k] : ends[k]].tobytes(), digest_size=8, salt=b"second")
+        out[k] = int.from_bytes(digest.digest(), "little")
+    return mixed(out)
+
+
 @dataclass
 class Words:
     """The words of a run of texts. doc: index of each word's text; first: index of each text's first word, one more at the end."""
@@ -93,6 +131,10 @@ class Words:
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
 
+    @cached_property
+    def second(self) -> np.ndarray:
+        return second_hashes(self.data, self.starts, self.ends)
+
     def word(self, i: int) -> bytes:
         return self.data[self.starts[i] : self.ends[i]].tobytes()
 
