@@ -11,8 +11,11 @@ asking each other, and equal stretches of words get equal symbols inside, wherev
 - Spark counts the anchors' names: a window can be repeated only if its anchor's name is shared.
 - Higher rounds, with runs: symbols of 35 words and more. One whose name and content hash are shared is verified at
   once, and all windows inside it are repeated.
-- The windows at shared anchors which no verified symbol holds are compared by 128-bit hashes of their whole content, with
-  each other and with the windows of one occurrence, the first, of every verified symbol.
+- The windows at shared anchors which no verified symbol holds are compared by two 64-bit hashes of their whole content,
+  with each other and with the windows of one occurrence, the first, of every verified symbol.
+
+Names come from one hash of each word, contents and the second hash of a window from another that is unrelated to it, so
+words that one hash takes for equal are told apart by the other.
 
 A word goes if any window that covers it also starts elsewhere. Words are runs of anything but ASCII white space, compared
 unchanged. A null or empty text has none; a text shorter than a window keeps all. Repeated rows are documents of their
@@ -31,6 +34,7 @@ from pyspark.sql import functions as F
 
 from trialcohort.llm import textarrays as T
 from trialcohort.llm.common import row_key, stage
+from trialcohort.operators.joins import fresh
 
 WINDOW = 35
 LOW_ROUNDS = 3
@@ -116,7 +120,7 @@ class Parse:
         names, starts, doc = self.low
         done = np.empty(0, np.int64)
         n = len(self.text.hash)
-        sums = content_sums(self.text.hash)
+        sums = content_sums(self.text.second)
         for k in range(LOW_ROUNDS, max(TOP_ROUNDS)):
             if len(names) < 2:
                 return
@@ -206,7 +210,7 @@ def checking(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
                 if not len(start):
                     continue
                 start = start[sliding(served, span, True)[start + MARGIN] == parse.least[start]]
-                hashes = [content_at(text.hash, start, window, salt) for salt in (31, 32)]
+                hashes = content_at(text.hash, start, window, 31), content_at(text.second, start, window, 32)
                 owner = text.doc[start]
                 k1, k2 = (part.column(x).to_numpy() for x in ("k1", "k2"))
                 yield pa.record_batch(
@@ -230,19 +234,21 @@ def content_at(names: np.ndarray, starts: np.ndarray, size: int, salt: int) -> n
 def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """Rows (k1, k2, marks): per document the stretches (at, size) of words which it shares, in any order and overlapping.
 
-    Names are counted with partial sums; the join back meets one row a name, so a passage that a third of all documents
-    hold is split by adaptive execution. A document's marks are at most as many as its words.
+    Names are counted with partial sums; the joins back meet one row a name, shuffled anew, so a passage that a third of all
+    documents hold can be split by adaptive execution. A document's marks are at most as many as its words.
     """
     keyed = docs.select(*row_key(), "text")
     rows = stage(keyed.mapInArrow(naming(window), "name long, content long, k1 long, k2 long, at int, size int"), "names")
     place = F.struct("k1", "k2", "at")
     shared = rows.groupBy("name", "content", "size").agg(F.count("*").alias("n"), F.min(place).alias("lead")).filter("n > 1").drop("n")
+    shared = shared.withColumn("name", fresh(F.col("name")))
     found = rows.join(shared, ["name", "content", "size"]).select("k1", "k2", F.struct("at", "size", (place == F.col("lead")).alias("first")).alias("mark"))
     found = found.groupBy("k1", "k2").agg(F.collect_set("mark").alias("marks"))
     marks = stage(found, "marks")
     unsure = keyed.join(marks.hint("merge"), ["k1", "k2"])  # marks grow with the documents: never broadcast
     cand = stage(unsure.mapInArrow(checking(window), "h1 long, h2 long, k1 long, k2 long, at int"), "windows")
     twice = cand.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    twice = twice.withColumn("h1", fresh(F.col("h1")))
     windows = cand.join(twice, ["h1", "h2"]).groupBy("k1", "k2").agg(F.collect_set(F.struct("at", F.lit(window).alias("size"))).alias("marks"))
     whole = F.transform(F.filter("marks", lambda x: x["size"] > 0), lambda x: F.struct(x["at"], x["size"]))
     verified = marks.select("k1", "k2", whole.alias("marks"))
