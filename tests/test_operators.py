@@ -70,6 +70,14 @@ def test_families_share_pages_and_miss_none(spark):
     ]
 
 
+def test_long_texts_of_unknown_keys_are_left_out(spark):
+    long = spark.createDataFrame([(k, "f", f"text {i}") for k in "ab" for i in range(30)] + [("c", "f", "x"), ("d", "f", "x")], "k string, field string, text string")
+    known = spark.createDataFrame([("a",), ("c",), ("e",)], "k string")
+    got = text_flags.text_sets(long, "k", page_bytes=40, known=known).collect()
+    assert {r.k for r in got} == {"a", "c"}
+    assert sorted(t.text for r in got if r.k == "a" for t in r.texts if t.text) == sorted(f"text {i}" for i in range(30))
+
+
 @pytest.mark.parametrize("size", [1, 20, text_flags.PAGE_BYTES])
 @pytest.mark.parametrize("partitions", [1, 4, 8])
 def test_text_pages_hold_each_text_once(spark, size, partitions):
