@@ -2,6 +2,7 @@ import hashlib
 import json
 import random
 import re
+from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -70,6 +71,19 @@ def test_families_share_pages_and_miss_none(spark):
     ]
 
 
+@pytest.mark.parametrize("size", [1, 3, paging.PAGE_SIZE])
+def test_a_family_of_distinct_rows_has_each_once(spark, size):
+    data = [("t", "b", None), ("t", "b", None), ("t", None, "x"), ("t", "a", "x"), ("t", "a", "x"), ("t", "a", "y"), ("u", None, None), ("u", None, None)]
+    df = spark.createDataFrame([*data, *data, (None, "a", "x")], "k string, a string, b string")
+    lists = paging.paged_lists([paging.Family(df, "k", {"a": "as", "b": "bs"}, distinct=True), paging.Family(df, "k", {"a": "all"})], "k", size)
+    pages = defaultdict(list)
+    for r in sorted(lists.collect(), key=lambda r: (r.k, r.list_part)):
+        pages[r.k] += zip(r["as"] or [], r["bs"] or [])
+        assert max(len(r["as"] or []), len(r["all"] or [])) <= size
+    assert pages == {"t": [(None, "x"), ("a", "x"), ("a", "y"), ("b", None)], "u": [(None, None)]}
+    assert sum(len(r["all"] or []) for r in lists.collect()) == 16
+
+
 def test_long_texts_of_unknown_keys_are_left_out(spark):
     long = spark.createDataFrame([(k, "f", f"text {i}") for k in "ab" for i in range(30)] + [("c", "f", "x"), ("d", "f", "x")], "k string, field string, text string")
     known = spark.createDataFrame([("a",), ("c",), ("e",)], "k string")
