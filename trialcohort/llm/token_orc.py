@@ -20,8 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trialcohort.llm.common import stage
-from trialcohort.llm.textarrays import slices
-from trialcohort.llm.tokenizing import encoder
+from trialcohort.llm.tokenizing import encoder, together
 
 STRIPE_BYTES = 64 << 20
 INDEX_ROWS = 10_000
@@ -32,19 +31,18 @@ FILE_SCHEMA = "part int, ordinal long, doc_id long, ids array<int>"
 def encoding(vocabulary: str, end: int, leading_blank: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, part, done = encoder(vocabulary, leading_blank), TaskContext.get().partitionId(), 0
-        for batch in batches:
-            for piece in slices(batch):
-                ids, offsets = known.encode(piece.column("text"), end)
-                n = piece.num_rows
-                yield pa.record_batch(
-                    {
-                        "part": pa.array(np.full(n, part, np.int32)),
-                        "ordinal": pa.array(np.arange(done, done + n)),
-                        "doc_id": piece.column("doc_id"),
-                        "ids": pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.astype(np.int32))),
-                    }
-                )
-                done += n
+        for batch in together(batches):
+            ids, offsets = known.encode(batch.column("text"), end)
+            n = batch.num_rows
+            yield pa.record_batch(
+                {
+                    "part": pa.array(np.full(n, part, np.int32)),
+                    "ordinal": pa.array(np.arange(done, done + n)),
+                    "doc_id": batch.column("doc_id"),
+                    "ids": pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.astype(np.int32))),
+                }
+            )
+            done += n
 
     return run
 
