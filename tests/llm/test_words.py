@@ -5,6 +5,7 @@ import pyarrow as pa
 import pytest
 
 from tests.llm import brute
+from trialcohort.llm import pack_pow2
 from trialcohort.llm import textarrays as T
 from trialcohort.llm.tokenizing import Encoder, together, vocabulary
 
@@ -94,3 +95,15 @@ def test_batches_are_put_together(monkeypatch):
     out = list(together(whole.slice(i, 50) for i in range(0, 500, 50)))
     assert pa.Table.from_batches(out).to_pydict() == whole.to_pydict() and max(x.num_rows for x in out) == 3
     assert not list(together(iter([])))
+
+
+def test_packing_encodes_small_batches_together():
+    rows = [(i, "a b c\nd " * i + str(i)) for i in range(60)]
+    batches = [pa.RecordBatch.from_pydict({"doc_id": [i], "text": [t]}) for i, t in rows]
+    (out,) = pack_pow2.cutting(vocabulary("byte_bpe_50k.json"), 0, True, 64, True)(iter(batches))
+    found = {i: [] for i, _ in rows}
+    for r in out.to_pylist():
+        assert r["start"] == len(found[r["doc_id"]]) and len(r["ids"]) == r["length"] == 1 << r["bucket"]
+        found[r["doc_id"]] += r["ids"]
+    tokenizer = Encoder(vocabulary("byte_bpe_50k.json"), True).tokenizer
+    assert found == {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 0] for i, t in rows}
