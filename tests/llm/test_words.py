@@ -49,12 +49,15 @@ BOTH = pytest.mark.parametrize("name, blank, end", [("word_bpe_49k.json", False,
 
 
 @BOTH
-def test_parts_give_the_ids_of_whole_texts(name, blank, end):
+@pytest.mark.parametrize("at_once", [4 << 20, 50])
+def test_parts_give_the_ids_of_whole_texts(name, blank, end, at_once, monkeypatch):
+    monkeypatch.setattr("trialcohort.llm.tokenizing.TEXTS_AT_ONCE", at_once)
     encoder, rng = Encoder(vocabulary(name), blank), random.Random(3)
     texts = [t.replace("#", chr(c)) for c in (*range(0x400), 0x2019, 0x212B, 0x3042, 0x1F600) for t in ("#", "a#b #c. Z#", "x\n#y\n\n#", "A#.\n#3", "'#s <|# a<#")]
     alphabet = [*"abAZéÀß×÷İɏɐ'.<|>12\n\n  \t_-", "\u0301", "\u00a0", "the", "<|endoftext|>"]
     texts += ["".join(rng.choices(alphabet, k=rng.randrange(1, 30))) for _ in range(3000)]
     texts += [" ".join("".join(rng.choices("abAZéɏ'.12\n-", k=rng.randrange(1, 6))) for _ in range(8)) for _ in range(3000)]
+    texts = texts if at_once > 50 else texts[::8]  # small stretches
     ids, offsets = encoder.encode(texts, end)
     for i, text in enumerate(texts):
         assert ids[offsets[i] : offsets[i + 1]].tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids + [end], re.escape(text)

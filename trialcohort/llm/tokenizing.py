@@ -19,8 +19,8 @@ import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MOST_PIECES, MOST_BYTES = 1_000_000, 64 << 20
-TEXTS_AT_ONCE, ROWS_AT_ONCE = 8 << 20, 1_000_000  # bytes and rows of texts encoded together
+MOST_PIECES, MOST_BYTES = 600_000, 32 << 20
+TEXTS_AT_ONCE, ROWS_AT_ONCE = 4 << 20, 500_000  # bytes and rows of texts encoded together
 SPECIAL = "<|endoftext|>"  # a special token of both tokenizers; it parts the pieces of one call
 AT_ONCE = 2_000
 #: Pieces are learnt anew if looking them up, which takes a pass over the memory, would cost more.
@@ -99,6 +99,15 @@ def parts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
+def stretches(data: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Where the stretches of texts begin and end that are cut at once; a blank begins each but the first."""
+    a, text = 0, data.tobytes() if len(data) > 2 * TEXTS_AT_ONCE else b""
+    while a < len(data):
+        b = text.find(b" ", a + TEXTS_AT_ONCE)
+        yield a, b if b > 0 else len(data)
+        a = b if b > 0 else len(data)
+
+
 def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows of all batches, in their order, in batches of about TEXTS_AT_ONCE bytes of text."""
     held, size, rows = [], 0, 0
@@ -208,29 +217,35 @@ class Encoder:
         ids, sizes = (np.concatenate(x) for x in zip(*found, strict=True))
         return gather(ids, np.concatenate([[0], np.cumsum(sizes)]), order)[0], sizes[order]
 
-    def plain(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
-        """As encode(), for texts that aren't empty and whose blanks all stand between solid characters."""
-        if not len(texts):
-            return np.empty(0, np.uint32), np.zeros(1, np.int64)
-        _, offsets, data = texts.buffers()
-        offsets = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
-        data = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]]
-        starts = offsets[:-1] - offsets[0]
-        cuts = parts(data, starts)
-        ends = np.concatenate([cuts, [len(data)]])
-        coded = pa.LargeStringArray.from_buffers(len(cuts), pa.py_buffer(ends), pa.py_buffer(data)).dictionary_encode()
+    def stretch(self, data: np.ndarray, stops: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts in a row, `end` after each that stops here, and the offsets behind those ends."""
+        cuts = parts(data, np.concatenate([[0], stops[stops < len(data)]]))
+        coded = pa.LargeStringArray.from_buffers(len(cuts), pa.py_buffer(np.append(cuts, len(data))), pa.py_buffer(data)).dictionary_encode()
         index = coded.indices.to_numpy()
         memory = self.memory if FEW * len(coded.dictionary) >= len(self.memory.known) else Memory()
         place = memory.places(coded.dictionary, np.bincount(index, minlength=len(coded.dictionary)), self.learn)
-        # an end after the last part of each text
-        first = np.searchsorted(cuts, starts)
-        after = np.concatenate([first[1:], [len(cuts)]]) + np.arange(len(texts))
-        at = np.full(len(index) + len(texts), len(memory.starts) - 1)
+        after = np.searchsorted(cuts, stops) + np.arange(len(stops))
+        at = np.full(len(index) + len(stops), len(memory.starts) - 1)
         here = np.ones(len(at), bool)
         here[after] = False
         at[here] = place[index]
         flat, ends = gather(np.append(memory.ids, np.uint32(end)), np.append(memory.starts, memory.starts[-1] + 1), at)
-        return flat, np.concatenate([[0], ends[after + 1]])
+        return flat, ends[after + 1]
+
+    def plain(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """As encode(), for texts that aren't empty and whose blanks all stand between solid characters."""
+        _, offsets, data = texts.buffers()
+        flat, cuts, total = [np.empty(0, np.uint32)], [np.zeros(1, np.int64)], 0
+        if len(texts):
+            offsets = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+            data = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]]
+            stops = offsets[1:] - offsets[0]
+            for a, b in stretches(data):
+                ids, ends = self.stretch(data[a:b], stops[(stops > a) & (stops <= b)] - a, end)
+                flat.append(ids)
+                cuts.append(ends + total)
+                total += len(ids)
+        return np.concatenate(flat), np.concatenate(cuts)
 
     def encode(self, texts: pa.Array | list[str | None], end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, `end` after each, and the offsets of each text's ids. Null is an empty text."""
