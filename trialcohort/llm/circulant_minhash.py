@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trialcohort.llm import textarrays as T
-from trialcohort.llm.common import row_key, stage
+from trialcohort.llm.common import row_key, stage, stage_few
 from trialcohort.llm.linking import linked_roots, shingle_sets, with_roots
 
 SHINGLE = 5
@@ -97,7 +97,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     members = classes.select("cid", "n", F.explode("keys").alias("key"))
     roots = linked_roots(members, classes.select("cid", "rep.k1", "rep.k2"), keyed.select("k1", "k2", "text"), shingle, percent)
     roots = stage(with_roots(classes.select("cid", "cls", "id"), roots), "roots")
-    names = stage(roots.groupBy("root").agg(F.min("id").alias("component_id")), "names")
+    names = stage_few(roots.groupBy("root").agg(F.min("id").alias("component_id")), "names")
     of = roots.join(names, "root").select("cls", F.col("root").alias("group_id"), "component_id")
     out = signed.drop("keys").join(of, "cls", "left")
     component = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trialcohort.llm import textarrays as T
-from trialcohort.llm.common import stage
+from trialcohort.llm.common import stage, stage_few
 from trialcohort.llm.components import connected_components
 
 ROUNDS = 2
@@ -150,7 +150,7 @@ def linked_roots(
     """
     count = members.groupBy("key").agg(F.min("cid").alias("least"), F.max("cid").alias("most"))
     # what several classes share is few; staged, it makes the join's shuffles fresh ones
-    several = stage(count.filter("least != most").select("key", F.col("least").alias("center")), "several")
+    several = stage_few(count.filter("least != most").select("key", F.col("least").alias("center")), "several")
     shared = stage(members.join(several, "key"), "shared")
     wanted = stage(shared.select("cid").distinct().join(keys, "cid"), "wanted")
     found = texts.join(wanted.hint("merge"), ["k1", "k2"]).select("cid", "text")
@@ -160,22 +160,22 @@ def linked_roots(
         placed = with_roots(shared, roots)
         if turn:
             mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high")
-            placed = stage(placed.join(stage(mixed.select("key"), "mixed"), "key"), "placed")
+            placed = stage(placed.join(stage_few(mixed.select("key"), "mixed"), "key"), "placed")
             if placed.isEmpty():
                 return roots
             pick = F.min_by(F.struct("cid", "n", "root"), F.xxhash64("cid", "key", F.lit(turn)))
         else:
             pick = F.min(F.struct("cid", "n", "root"))
-        centers = stage(placed.groupBy("key").agg(pick.alias("at")), "centers")
+        centers = stage_few(placed.groupBy("key").agg(pick.alias("at")), "centers")
         star = placed.join(centers, "key").filter("cid != at.cid and root != at.root")
         star = star.filter(100 * F.least("n", "at.n") >= percent * F.greatest("n", "at.n"))
-        star = stage(star.select(F.greatest("cid", "at.cid").alias("a"), F.least("cid", "at.cid").alias("b")).distinct(), "star")
+        star = stage_few(star.select(F.greatest("cid", "at.cid").alias("a"), F.least("cid", "at.cid").alias("b")).distinct(), "star")
         more = stage(verified(star, texts, shingle, percent), "links")
         links = more if links is None else links.unionByName(more)
-        roots = stage(connected_components(links).select(F.col("node").alias("cid"), "root"), "roots")
+        roots = stage_few(connected_components(links).select(F.col("node").alias("cid"), "root"), "roots")
     placed = with_roots(shared, roots)
     mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high")
-    rest = stage(placed.join(stage(mixed.select("key"), "mixed"), "key").select("cid", "center", "root").distinct(), "rest")
+    rest = stage_few(placed.join(stage_few(mixed.select("key"), "mixed"), "key").select("cid", "center", "root").distinct(), "rest")
     if rest.isEmpty():
         return roots
     groups = blocks(rest, texts, rows or BLOCK_ROWS, size or BLOCK_BYTES).groupBy("whole", "low", "high")

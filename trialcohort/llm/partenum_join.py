@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trialcohort.llm import textarrays as T
-from trialcohort.llm.common import row_key, stage
+from trialcohort.llm.common import row_key, stage, stage_few
 from trialcohort.llm.linking import linked_roots, shingle_sets
 
 SHINGLE, PERCENT = 3, 90
@@ -113,7 +113,7 @@ def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
     roots = linked_roots(members, classes.select("cid", "rep.k1", "rep.k2"), keyed.select("k1", "k2", "text"), shingle, percent)
     of = classes.select("cls", "cid", "id").join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     of = stage(of, "roots")
-    names = stage(of.groupBy("root").agg(F.min("id").alias("component_id")), "names")
+    names = stage_few(of.groupBy("root").agg(F.min("id").alias("component_id")), "names")
     of = stage(of.join(names, "root").select("cls", F.col("cid").alias("class_id"), "component_id"), "components")
     out = signed.drop("keys").join(of, "cls", "left")
     component = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
