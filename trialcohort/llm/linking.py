@@ -150,7 +150,7 @@ def linked_roots(
     """
     count = members.groupBy("key").agg(F.min("cid").alias("least"), F.max("cid").alias("most"))
     # what several classes share is few; staged, it makes the join's shuffles fresh ones
-    several = stage_few(count.filter("least != most").select("key", F.col("least").alias("center")), "several")
+    several = stage(count.filter("least != most").select("key", F.col("least").alias("center")), "several")
     shared = stage(members.join(several, "key"), "shared")
     wanted = stage(shared.select("cid").distinct().join(keys, "cid"), "wanted")
     found = texts.join(wanted.hint("merge"), ["k1", "k2"]).select("cid", "text")
@@ -160,7 +160,7 @@ def linked_roots(
         placed = with_roots(shared, roots)
         if turn:
             mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high")
-            placed = stage(placed.join(stage_few(mixed.select("key"), "mixed"), "key"), "placed")
+            placed = stage(placed.join(stage(mixed.select("key"), "mixed"), "key"), "placed")
             if placed.isEmpty():
                 return roots
             pick = F.min_by(F.struct("cid", "n", "root"), F.xxhash64("cid", "key", F.lit(turn)))
@@ -175,7 +175,7 @@ def linked_roots(
         roots = stage_few(connected_components(links).select(F.col("node").alias("cid"), "root"), "roots")
     placed = with_roots(shared, roots)
     mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high")
-    rest = stage_few(placed.join(stage_few(mixed.select("key"), "mixed"), "key").select("cid", "center", "root").distinct(), "rest")
+    rest = stage_few(placed.join(stage(mixed.select("key"), "mixed"), "key").select("cid", "center", "root").distinct(), "rest")
     if rest.isEmpty():
         return roots
     groups = blocks(rest, texts, rows or BLOCK_ROWS, size or BLOCK_BYTES).groupBy("whole", "low", "high")
