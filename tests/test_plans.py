@@ -3,16 +3,19 @@
 import contextlib
 import random
 import re
+import time
 from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from tests.fixture_tables import inputs
 from trialcohort.functions import numbers
 from trialcohort.functions.fixed_values import STUDY_COLUMNS
 from trialcohort.operators import baseline, icd, joins, paging, represent, sampling, study, text_flags
 from trialcohort.plans import driver_queries, pipeline, standins
+from trialcohort.sources.shared import staged
 
 FOLDER = "/root/testdata/sf0.001"
 FACTS = ["sampling_method", "gender", "minimum_age", "maximum_age", "were_results_reported"]
@@ -307,3 +310,47 @@ def test_sums_of_wide_rows_stay_out_of_generated_methods(spark):
     summed = df.select("*", numbers.sum_skipping_nulls([F.col(c) for c in columns]).alias("total"))
     assert "*(" not in next(line for line in plan(summed.join(df.select("c0"), "c0", "left")).splitlines() if "aggregate(" in line).split("Project [")[0]
     assert [r.total for r in summed.collect()] == [0.0 + 0.1 + 0.2 + 0.0 + 0.3 + -0.0 + 1e16, 0.0]
+
+
+def test_wide_table_of_slices_is_that_of_one(spark):
+    given, kept = inputs(spark), []
+
+    def keep(df, name):
+        kept.append(name)
+        return staged(df, name)
+
+    def wide(**more):
+        tables = [pipeline.base_of(given), given.countries, given.census, pipeline.trial_flags_of(given), given.interventions, given.sponsors]
+        icd_codes, baselines = pipeline.icd_of(given, keep), pipeline.categorised_baselines(given, keep)
+        return rows(pipeline.wide_table(*tables, icd_codes, baselines, given.labels, keep=keep, **more))
+
+    whole = wide()
+    assert whole and not [x for x in kept if x.startswith("wide_")]
+    assert wide(slice_rows=5) == whole
+    assert len([x for x in kept if x.startswith("wide_rows_")]) > 1
+
+
+def test_a_trial_is_in_one_slice(spark):
+    ids = spark.createDataFrame([(f"T{i}",) for i in range(50)] + [(None,)], "nct_id string")
+    found = ids.select(*[pipeline.in_slice("nct_id", i, 4).cast("int").alias(f"s{i}") for i in range(4)]).collect()
+    assert all(sum(r) == 1 for r in found) and all(sum(c) for c in zip(*found))
+
+
+def test_staging_frees_its_shuffles(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    before, until = files.getAllFiles().size(), time.time() + 20
+    staged(standins.Tables(spark, FOLDER).lineitem.groupBy("l_orderkey").count(), "freed")
+    while files.getAllFiles().size() > before and time.time() < until:
+        time.sleep(0.2)
+    assert files.getAllFiles().size() <= before
+
+
+def test_repeated_terms_are_not_shuffled_twice(spark):
+    """A trial's terms go by term to their codes and by trial to its sets; what repeats is dropped in the latter."""
+    conditions = spark.createDataFrame([("A", "Flu"), ("A", "flu"), ("B", "FLU")], "nct_id string, mesh_term string")
+    terms = spark.createDataFrame([("Flu", "J11.1", "D1"), ("flu", "J10", "D1")], "label string, icd_code string, mesh_code string")
+    none = spark.createDataFrame([], "ICD10CM_ID string, MESH_ID string")
+    direct = spark.createDataFrame([("B", "J11")], "NCT_id string, ICD10 string")
+    found = icd.icd_map(none, none, terms, conditions, direct, icd.chapter_frame(spark))
+    assert rows(found) == [("A", ["J10", "J11"], ["Respiratory System"]), ("B", ["J10", "J11"], ["Respiratory System"])]
+    assert not re.search(r"hashpartitioning\(NCT_id#\d+, MESH_term", plan(found))
