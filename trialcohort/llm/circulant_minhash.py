@@ -31,15 +31,16 @@ from trialcohort.llm.linking import linked_roots, shingle_sets, with_roots
 SHINGLE = 5
 BANDS, ROWS = 32, 4
 PERCENT = 80
+HELD = 16_384
 
 
-def second(x: np.ndarray) -> np.ndarray:
-    """The second permutation of 32-bit numbers, in place."""
-    x ^= x >> np.uint32(16)
-    x *= np.uint32(0x85EBCA6B)
-    x ^= x >> np.uint32(13)
-    x *= np.uint32(0xC2B2AE35)
-    x ^= x >> np.uint32(16)
+def second(x: np.ndarray, spare: np.ndarray) -> np.ndarray:
+    """The second permutation of 32-bit numbers, in place; spare: room for as many."""
+    for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35), (16, 1)):
+        np.right_shift(x, np.uint32(shift), out=spare)
+        x ^= spare
+        if factor > 1:
+            x *= np.uint32(factor)
     return x
 
 
@@ -49,8 +50,16 @@ def signatures(names: np.ndarray, begin: np.ndarray, size: int) -> np.ndarray:
     first ^= first >> np.uint32(15)
     heads = begin[:-1][np.diff(begin) > 0]
     out = np.empty((len(heads), size), np.uint32)
-    for k in range(size):
-        out[:, k] = np.minimum.reduceat(second(first + np.uint32(k)), heads)
+    i = 0
+    while i < len(heads):
+        # sets of about HELD numbers at a time, or a larger one, so that the numbers stay in a core's cache
+        j = max(i + 1, int(np.searchsorted(heads, heads[i] + HELD)))
+        own = first[heads[i] : heads[j] if j < len(heads) else len(first)]
+        moved, spare, at = np.empty_like(own), np.empty_like(own), heads[i:j] - heads[i]
+        for k in range(size):
+            np.add(own, np.uint32(k), out=moved)
+            np.minimum.reduceat(second(moved, spare), at, out=out[i:j, k])
+        i = j
     return out
 
 

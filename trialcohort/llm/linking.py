@@ -38,8 +38,12 @@ def shingle_sets(text: T.Words, shingle: int) -> tuple[np.ndarray, np.ndarray]:
             at, found = text.windows(k, salt=k)
             mine = np.isin(text.doc[at], short)
             names, doc = np.concatenate([names, found[mine]]), np.concatenate([doc, text.doc[at][mine]])
-    order = np.lexsort((names, doc))
-    names, doc = names[order], doc[order]
+    if (doc[1:] < doc[:-1]).any():
+        order = np.argsort(doc, kind="stable")
+        names, doc = names[order], doc[order]
+    begin = np.searchsorted(doc, np.arange(n + 1)).tolist()
+    for a, b in zip(begin[:-1], begin[1:], strict=True):
+        names[a:b].sort()
     new = np.append(True, (names[1:] != names[:-1]) | (doc[1:] != doc[:-1]))[: len(names)]
     names, doc = names[new], doc[new]
     return names, np.searchsorted(doc, np.arange(n + 1))

@@ -42,8 +42,12 @@ KIND[0x61:0x7B], KIND[0x41:0x5B], KIND[0x30:0x3A] = 0, 1, 2
 KIND[[0x20, 9, 10, 11, 12, 13]] = 3
 KIND[list(b".,;:!?'\"()-")] = 4
 KIND[0x80:], KIND[0x80:0xC0] = 6, 7
-SIGN = np.zeros(256, bool)
-SIGN[list(b"#*$%&|<>")] = True
+# what a byte counts for: the classes, then signs, then characters of words (first bytes but white space)
+COUNTS_FOR = np.zeros((256, CLASSES + 2), np.int64)
+COUNTS_FOR[np.arange(256)[KIND < CLASSES], KIND[KIND < CLASSES]] = 1
+COUNTS_FOR[list(b"#*$%&|<>"), CLASSES] = 1
+COUNTS_FOR[T.SOLID & (KIND < CLASSES), CLASSES + 1] = 1
+TEXTS = 4_096  # whose bytes are counted at a time
 
 
 def per_text(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -52,12 +56,22 @@ def per_text(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return sums[offsets[1:]] - sums[offsets[:-1]]
 
 
+def byte_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """A row for each text, a column for each of COUNTS_FOR."""
+    n, at = len(offsets) - 1, offsets.tolist()
+    out = np.empty((n, CLASSES + 2), np.int64)
+    for i in range(0, n, TEXTS):
+        j = min(n, i + TEXTS)
+        held = np.empty((j - i, 256), np.int64)
+        for k in range(i, j):
+            held[k - i] = np.bincount(data[at[k] : at[k + 1]], minlength=256)
+        out[i:j] = held @ COUNTS_FOR
+    return out
+
+
 def class_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """A row for each text, a column for each class."""
-    kind = KIND[data]
-    doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    n = len(offsets) - 1
-    return np.bincount(doc * 8 + kind, minlength=n * 8).reshape(n, 8)[:, :CLASSES]
+    return byte_counts(data, offsets)[:, :CLASSES]
 
 
 def languages(batch: pa.RecordBatch) -> tuple[np.ndarray, list[str | None]]:
@@ -147,16 +161,27 @@ def repeated_window_words(text: T.Words, size: int) -> np.ndarray:
     """Per text, the words covered by windows that the text holds twice or more."""
     at, found = text.windows(size)
     key = found ^ T.mixed(text.doc[at].astype(np.uint64), 7)
-    order = np.argsort(key, kind="stable")
-    same = key[order][1:] == key[order][:-1]
-    twice = np.zeros(len(key), bool)
-    twice[order[1:][same]] = twice[order[:-1][same]] = True
+    ordered = np.sort(key)
+    again = ordered[1:][ordered[1:] == ordered[:-1]]
+    twice, _ = T.places(again, key)
     step = np.zeros(len(text.hash) + size + 1, np.int64)
     np.add.at(step, at[twice], 1)
     np.add.at(step, at[twice] + size, -1)
     return per_text(np.cumsum(step)[: len(text.hash)] > 0, text.first)
 
 
+def common_counts(text: T.Words, code: np.ndarray, lists: list[list[int]]) -> np.ndarray:
+    """A row for each text: how often it holds each common word of its language, in a last column all its other words."""
+    other, n = max((len(x) for x in lists), default=0), len(code)
+    language = T.mixed(np.arange(len(lists), dtype=np.uint64), 9)
+    keys = np.concatenate([np.array(x, np.int64).view(np.uint64) ^ y for x, y in zip(lists, language, strict=True)])
+    order = np.argsort(keys)
+    which, at = T.places(keys[order], text.hash ^ language[code][text.doc])
+    column = np.full(len(text.hash), other)
+    column[which] = np.concatenate([np.arange(len(x)) for x in lists])[order][at]
+    return np.bincount(text.doc * (other + 1) + column, minlength=n * (other + 1)).reshape(n, other + 1)
+
+
 def duplicate_lines(text: str) -> int:
     lines = [x for x in text.split("\n") if x.strip(" \t\r\x0b\x0c")]
     return len(lines) - len(set(lines))
@@ -169,41 +194,37 @@ def measuring(columns: list[str], limits: dict) -> Callable[[Iterator[pa.RecordB
                 data, offsets = T.raw(part.column("text"))
                 text = T.words(data, offsets, T.SOLID, False)
                 n = len(offsets) - 1
-                head = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80, dtype=np.int64)])
-                chars = per_text((head[text.ends] - head[text.starts]), text.first)
                 repeat = repeated_window_words(text, WINDOW)
                 n_words = text.counts
                 failed = (n_words < limits["base_words"]) | (100 * repeat > limits["base_repeat"] * n_words)
-                counts = class_counts(data, offsets)
+                found = byte_counts(data, offsets)
+                counts = found[:, :CLASSES]
                 folded = T.words(data, offsets, T.ALNUM, True)
                 class_js, word_js = np.zeros(n), np.zeros(n)
                 code, names = languages(part)
-                refs = [part.column(x).to_pylist() for x in ("_ref_docs", "_ref_class_p", "_ref_common", "_ref_word_p")]
-                for k in range(len(names)):
-                    mine = np.flatnonzero(code == k)
-                    if not len(mine) or (refs[0][mine[0]] or 0) < limits["min_docs"]:
-                        continue
-                    _, class_p, common, word_p = (x[mine[0]] for x in refs)
+                reference = lambda name, mine: part.column(f"_ref_{name}")[int(mine[0])].as_py() if len(mine) else None  # noqa: B023, E731
+                of = [np.flatnonzero(code == k) for k in range(len(names))]
+                of = [x if (reference("docs", x) or 0) >= limits["min_docs"] else x[:0] for x in of]
+                lists = [reference("common", x) or [] for x in of]
+                table = common_counts(folded, code, lists)
+                for mine, common in zip(of, lists, strict=True):
+                    class_p, word_p = reference("class_p", mine), reference("word_p", mine)
                     if class_p:
-                        of = counts[mine]
-                        p = of / np.maximum(of.sum(1, keepdims=True), 1)
-                        class_js[mine] = np.where(of.sum(1) >= limits["min_chars"], distance(p, np.array(class_p)), 0)
+                        own = np.ascontiguousarray(counts[mine])
+                        p = own / np.maximum(own.sum(1, keepdims=True), 1)
+                        class_js[mine] = np.where(own.sum(1) >= limits["min_chars"], distance(p, np.array(class_p)), 0)
                     if common:
-                        hashes = np.array(common, np.int64).view(np.uint64)
-                        order = np.argsort(hashes)
-                        at = np.searchsorted(hashes[order], folded.hash).clip(0, len(order) - 1)
-                        bin_ = np.where(hashes[order][at] == folded.hash, order[at], len(order))
-                        table = np.bincount(folded.doc * (len(order) + 1) + bin_, minlength=n * (len(order) + 1)).reshape(n, -1)[mine]
-                        p = table / np.maximum(table.sum(1, keepdims=True), 1)
-                        word_js[mine] = np.where(table.sum(1) >= limits["min_words"], distance(p, np.array(word_p)), 0)
+                        own = np.ascontiguousarray(table[mine][:, [*range(len(common)), -1]])
+                        p = own / np.maximum(own.sum(1, keepdims=True), 1)
+                        word_js[mine] = np.where(own.sum(1) >= limits["min_words"], distance(p, np.array(word_p)), 0)
                 steady = np.sqrt(STEADY_CHARS / np.clip(counts.sum(1), 1, STEADY_CHARS))
                 rejected = (class_js > limits["max_class"] * steady) | (word_js > limits["max_word"])
                 yield pa.record_batch(
                     {
                         **{x: part.column(x) for x in columns},
                         "n_words": pa.array(n_words.astype(np.int64)),
-                        "word_chars": pa.array(chars),
-                        "n_symbols": pa.array(per_text(SIGN[data], offsets)),
+                        "word_chars": pa.array(found[:, CLASSES + 1]),
+                        "n_symbols": pa.array(found[:, CLASSES]),
                         "n_dup_lines": pa.array(np.array([duplicate_lines(x or "") for x in part.column("text").to_pylist()], np.int64)),
                         "n_repeat_words": pa.array(repeat),
                         "class_distance": pa.array(class_js),

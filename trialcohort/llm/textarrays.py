@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 
 BLOCK = 1 << 20
+HASHED = 1 << 16  # bytes whose sums are worked out at a time, few enough for a core's cache
 LONG = 512
 BASE = 0x9E3779B97F4A7C15
 FIELDS = ((2**31 - 1, 1_103_515_245), (2**31 - 19, 1_664_525_017))  # primes and bases of the second hash
@@ -41,9 +42,17 @@ POW, INV = powers(BASE, BLOCK + LONG + 1), powers(inverse(BASE), BLOCK + LONG +
 def mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit."""
     x = x + U((salt * BASE + 0x632BE59BD9B4E019) & 0xFFFFFFFFFFFFFFFF)
-    x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> U(27))) * U(0x94D049BB133111EB)
-    return x ^ (x >> U(31))
+    x ^= x >> U(30)
+    x *= U(0xBF58476D1CE4E5B9)
+    x ^= x >> U(27)
+    x *= U(0x94D049BB133111EB)
+    x ^= x >> U(31)
+    return x
+
+
+def translated(data: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """table[data] of bytes and a table of 256 bytes or booleans; not to be written to."""
+    return np.frombuffer(data.tobytes().translate(table.tobytes()), table.dtype)
 
 
 def byte_class(spaces: bytes = b"", letters: bool = False) -> np.ndarray:
@@ -63,17 +72,24 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
 
+def weighted(data: np.ndarray, power: np.ndarray) -> np.ndarray:
+    out = data.astype(U)
+    out += U(1)
+    out *= power[: len(out)]
+    return out
+
+
 def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each stretch of bytes; starts ascend and stretches don't overlap."""
     out = np.empty(len(starts), U)
     long = np.flatnonzero(ends - starts > LONG)
     i = 0
     while i < len(starts):
-        j = int(np.searchsorted(starts, starts[i] + BLOCK))
+        j = int(np.searchsorted(starts, starts[i] + HASHED))
         a = int(starts[i])
-        b = int(min(ends[j - 1], a + BLOCK + LONG))
+        b = int(min(ends[j - 1], a + HASHED + LONG))
         sums = np.zeros(b - a + 1, U)
-        np.cumsum((data[a:b].astype(U) + U(1)) * POW[: b - a], out=sums[1:])
+        np.cumsum(weighted(data[a:b], POW), out=sums[1:])
         s, e = starts[i:j] - a, np.minimum(ends[i:j] - a, b - a)
         out[i:j] = (sums[e] - sums[s]) * INV[s]
         i = j
@@ -101,11 +117,11 @@ def second_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
         power, back = field_powers(base, prime), field_powers(pow(base, -1, prime), prime)
         i = 0
         while i < len(starts):
-            j = int(np.searchsorted(starts, starts[i] + BLOCK))
+            j = int(np.searchsorted(starts, starts[i] + HASHED))
             a = int(starts[i])
-            b = int(min(ends[j - 1], a + BLOCK + LONG))
+            b = int(min(ends[j - 1], a + HASHED + LONG))
             sums = np.zeros(b - a + 1, U)
-            np.cumsum((data[a:b].astype(U) + U(1)) * power[: b - a], out=sums[1:])
+            np.cumsum(weighted(data[a:b], power), out=sums[1:])
             s, e = starts[i:j] - a, np.minimum(ends[i:j] - a, b - a)
             out[i:j] = (out[i:j] << U(31)) | ((sums[e] - sums[s]) % U(prime) * back[s] % U(prime))
             i = j
@@ -115,6 +131,18 @@ def second_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     return mixed(out)
 
 
+def places(keys: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of some hashes are among the ascending keys, and where there; most others are told by their first 16 bits."""
+    seen = np.zeros(1 << 16, bool)
+    seen[keys >> U(48)] = True
+    maybe = np.flatnonzero(seen[of >> U(48)])
+    if not len(maybe):
+        return maybe, maybe
+    at = np.searchsorted(keys, of[maybe]).clip(0, len(keys) - 1)
+    same = keys[at] == of[maybe]
+    return maybe[same], at[same]
+
+
 @dataclass
 class Words:
     """The words of a run of texts. doc: index of each word's text; first: index of each text's first word, one more at the end."""
@@ -182,21 +210,19 @@ def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def words(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray, lower: bool) -> Words:
     """All maximal runs of bytes of a kind, within each text."""
     if lower:
-        data = LOWER[data]
-    inside = np.zeros(len(data) + 2, np.int8)
-    inside[1:-1] = kind[data]
+        data = translated(data, LOWER)
+    inside = np.zeros(len(data) + 2, bool)
+    inside[1:-1] = translated(data, kind)
     cut = offsets[1:-1]
     cut = cut[(cut > 0) & (cut < len(data))]  # a word that ends a text must not join the next text's first
-    step = np.diff(inside)
-    step = step.astype(bool)
-    joined = np.unique(cut[(inside[cut] == 1) & (inside[cut + 1] == 1)])
-    edges = np.flatnonzero(step)
+    joined = np.unique(cut[inside[cut] & inside[cut + 1]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edges[::2], edges[1::2]
     if len(joined):
-        starts, ends = np.sort(np.concatenate([starts, joined])), np.sort(np.concatenate([ends, joined]))
-    doc = np.searchsorted(offsets[1:], starts, side="right")
+        starts, ends = (np.sort(np.concatenate([x, joined]), kind="stable") for x in (starts, ends))  # two ascending runs are merged
     first = np.searchsorted(starts, offsets, side="left")
     first[-1] = len(starts)
+    doc = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
     return Words(data, offsets, starts, ends, doc, first, hashes(data, starts, ends))
 
 
